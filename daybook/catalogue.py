@@ -281,16 +281,7 @@ def audit_fact(tables: Tables) -> DataFrame:
 @over_bank
 def reconcile_fact(tables: Tables) -> DataFrame:
     """Builder balances against audit balances, over both ledgers."""
-    audited = audit.audit_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
-    expected = audited.withColumns(
-        {"company_id": F.col("company_id").cast("string"), "current_balance": F.col("balance").cast("decimal(18,2)")}
-    )
-    return ops.reconcile(
-        fact_balance_subaccount(tables),
-        expected,
-        ["subaccount_id", "date"],
-        ["account_id", "company_id", "current_balance"],
-    )
+    return audit.reconcile_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
 
 
 @over_folder

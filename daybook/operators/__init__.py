@@ -13,6 +13,7 @@ from daybook.operators.balances import (
     posted,
     running_max,
     spine_with_values,
+    split_months,
 )
 from daybook.operators.constraints import (
     check_foreign_key,
@@ -48,6 +49,7 @@ __all__ = [
     "reconcile",
     "running_max",
     "spine_with_values",
+    "split_months",
     "split_null_keys",
     "split_rejects",
     "upsert",

@@ -140,6 +140,17 @@ def daily_intervals(
     )
 
 
+def split_months(intervals: DataFrame) -> DataFrame:
+    """Cut intervals at month ends and name the month each piece lies in by its first day.
+
+    Lets a month-partitioned table be laid out by shuffling intervals instead of days.
+    """
+    months = F.sequence(F.trunc("first_day", "month"), F.col("last_day"), F.expr("interval 1 month"))
+    return intervals.withColumn("month", F.explode(months)).withColumns(
+        {"first_day": F.greatest("first_day", "month"), "last_day": F.least("last_day", F.last_day("month"))}
+    )
+
+
 def expand_days(intervals: DataFrame) -> DataFrame:
     """Spell intervals out into one row per day, in the order of the input rows."""
     keep = [c for c in intervals.columns if c not in ("first_day", "value_day", "last_day", "balance", "carried")]

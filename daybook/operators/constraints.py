@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values held by more than one row, with their number. Null counts as different from null."""
-    return _repeated(df.dropna(subset=list(columns)), columns)
+    return _counted(df.dropna(subset=list(columns)), columns).filter(F.col("rows") > 1)
 
 
 def check_primary_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,27 +32,31 @@ def check_foreign_key(
 ) -> DataFrame:
     """Child keys without parent, with their number of rows. A key with a null part passes.
 
-    The child is reduced to its distinct keys before the join, so a parent that most child
-    rows point to costs one row.
+    Keys of both sides are stacked and grouped instead of joined: a parent that most child rows point
+    to is combined before the shuffle, and neither side's size matters.
     """
-    keys = _counted(child.dropna(subset=list(columns)), columns)
-    parents = parent.select(*(F.col(p).alias(f"__{c}") for c, p in zip(columns, parent_columns, strict=True)))
-    match = F.lit(True)
-    for c in columns:
-        match = match & (F.col(c) == F.col(f"__{c}"))
-    return keys.join(parents, match, "left_anti")
+    keys = child.dropna(subset=list(columns)).select(*columns, F.lit(1).alias("__child"))
+    parents = parent.select(
+        *(F.col(p).alias(c) for c, p in zip(columns, parent_columns, strict=True)), F.lit(1).alias("__parent")
+    )
+    met = (
+        keys.unionByName(parents, allowMissingColumns=True)
+        .groupBy(*columns)
+        .agg(F.count("__child").alias("rows"), F.count("__parent").alias("__parents"))
+    )
+    return met.filter((F.col("rows") > 0) & (F.col("__parents") == 0)).drop("__parents")
+
+
+def missing_columns(required: Sequence[str]) -> Column:
+    """Names of the required columns a row leaves empty, comma-separated; empty text if it fills all."""
+    return F.concat_ws(",", *(F.when(F.col(c).isNull(), F.lit(c)) for c in required))
 
 
 def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows that fill all required columns, and the others with the names of their empty ones."""
-    missing = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)))
-    rejected = df.withColumn("missing", F.array_join(missing, ",")).filter(F.col("missing") != "")
+    rejected = df.withColumn("missing", missing_columns(required)).filter(F.col("missing") != "")
     return df.dropna(subset=list(required)), rejected
 
 
 def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def _repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _counted(df, columns).filter(F.col("rows") > 1)

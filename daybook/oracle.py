@@ -434,11 +434,11 @@ def oracles() -> dict[str, str]:
         "audit_subaccount": _with(AUDIT_SUBACCOUNT),
         "audit_fact": _with(f"SELECT * FROM ({AUDIT_FACT}) ORDER BY subaccount_id, date", **AUDIT_PARTS),
         "reconcile_fact": _with(
-            _reconcile("built", "audited", ["subaccount_id", "date"], ["account_id", "company_id", "current_balance"]),
+            _reconcile("built", "audited", list(cat.TARGETS["fact_balance_subaccount"].key), ["current_balance"]),
             **FACT_PARTS,
             **AUDIT_PARTS,
             built=FACT,
-            audited="SELECT subaccount_id, date, account_id, CAST(company_id AS VARCHAR) AS company_id, "
+            audited="SELECT subaccount_id, account_id, client_id, date, CAST(company_id AS VARCHAR) AS company_id, "
             f"CAST(balance AS DECIMAL(18,2)) AS current_balance FROM ({AUDIT_FACT})",
         ),
         "reconcile_dims": _with(

@@ -15,7 +15,8 @@ from daybook.operators.balances import carry_max, expand_days
 from daybook.operators.reconcile import reconcile
 from daybook.plans import dimensions as dims
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables
-from daybook.plans.facts import Span, placed_intervals
+from daybook.plans.facts import Span, build_balance, placed_intervals
+from daybook.plans.targets import TARGETS
 
 
 def audit_company(tables: Tables, run: Run) -> DataFrame:
@@ -94,18 +95,31 @@ def _audit_intervals(tables: Tables, ledger: Ledger, span: Span) -> DataFrame:
     return placed_intervals(tables, ledger, txns, span, carry=carry_max)
 
 
+def audit_intervals(tables: Tables, loans: Span, deposits: Span) -> DataFrame:
+    """Audit balances of both ledgers as intervals."""
+    return _audit_intervals(tables, LOANS, loans).unionByName(_audit_intervals(tables, DEPOSITS, deposits))
+
+
+def audit_rows(intervals: DataFrame, run: Run) -> DataFrame:
+    """Audit balances by day, in the order of the intervals."""
+    return expand_days(intervals).select(
+        "subaccount_id", "account_id", F.lit(run.client_id).alias("client_id"), "company_id", "date", "balance"
+    )
+
+
 def audit_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
     """Daily balances over all transactions with running-maximum gaps, by sub-account and day."""
-    intervals = _audit_intervals(tables, LOANS, loans).unionByName(_audit_intervals(tables, DEPOSITS, deposits))
-    in_order = intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day")
-    return expand_days(in_order).select(
-        "subaccount_id",
-        "account_id",
-        F.lit(run.client_id).alias("client_id"),
-        "company_id",
-        "date",
-        "balance",
+    intervals = audit_intervals(tables, loans, deposits)
+    return audit_rows(intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day"), run)
+
+
+def reconcile_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
+    """Builder balances against audit balances, by the fact's key."""
+    expected = audit_rows(audit_intervals(tables, loans, deposits), run).withColumns(
+        {"company_id": F.col("company_id").cast("string"), "current_balance": F.col("balance").cast("decimal(18,2)")}
     )
+    key = TARGETS["fact_balance_subaccount"].key
+    return reconcile(build_balance(tables, run, loans, deposits), expected, key, ["current_balance"])
 
 
 def reconcile_warehouse(tables: Tables, built: Tables, run: Run) -> DataFrame:

@@ -45,8 +45,12 @@ def placed_intervals(tables: Tables, ledger: Ledger, txns: DataFrame, span: Span
     )
 
 
-def _fact_rows(intervals: DataFrame, run: Run) -> DataFrame:
-    rows = expand_days(intervals).select(
+def fact_rows(intervals: DataFrame, run: Run) -> DataFrame:
+    """Fact rows of placed intervals, in the order of the intervals."""
+    placed = intervals.select(
+        "subaccount_id", "account_id", "company_id", "first_day", "value_day", "last_day", "balance", "carried"
+    )
+    rows = expand_days(placed).select(
         "subaccount_id",
         "account_id",
         F.lit(run.client_id).alias("client_id"),
@@ -63,7 +67,7 @@ def ledger_intervals(tables: Tables, ledger: Ledger, span: Span) -> DataFrame:
 
 def build_balance_of(tables: Tables, run: Run, ledger: Ledger, span: Span) -> DataFrame:
     """Daily balances of one ledger."""
-    return _fact_rows(ledger_intervals(tables, ledger, span), run)
+    return fact_rows(ledger_intervals(tables, ledger, span), run)
 
 
 def build_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
@@ -78,7 +82,7 @@ def build_ordered_balance(tables: Tables, run: Run, loans: Span, deposits: Span)
     the range shuffle moves one row per transaction day instead of one per day.
     """
     intervals = ledger_intervals(tables, LOANS, loans).unionByName(ledger_intervals(tables, DEPOSITS, deposits))
-    return _fact_rows(intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day"), run)
+    return fact_rows(intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day"), run)
 
 
 def empty_transactions(spark: SparkSession) -> DataFrame:

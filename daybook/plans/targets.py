@@ -147,13 +147,14 @@ def conform(df: DataFrame, target: Target, run_ts: datetime | None = None) -> Da
     has stays null. ``run_ts`` stamps the rows as first uploaded then. A column the target does not
     know is an error.
     """
-    unknown = set(df.columns) - set(target.columns)
+    present = set(df.columns)
+    unknown = present - set(target.columns)
     if unknown:
         raise ValueError(f"{target.name} has no column {', '.join(sorted(unknown))}")
     supplied = target.defaults if run_ts is None else {**target.defaults, "first_uploaded": run_ts}
     return df.select(
         *(
-            (F.col(name) if name in df.columns else F.lit(supplied.get(name))).cast(kind).alias(name)
+            (F.col(name) if name in present else F.lit(supplied.get(name))).cast(kind).alias(name)
             for name, kind in target.columns.items()
         )
     )

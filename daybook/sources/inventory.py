@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+OBJECT = "key string, size bigint, last_modified timestamp"
+
 
 def inventory(spark: SparkSession, location: str, prefix: str = "") -> DataFrame:
     """Every object under ``location`` whose key begins with ``prefix``: key, size, last change.
 
-    The content column of the file source is pruned, so no object is opened. Spark lists
-    folders in parallel tasks once there are more than
-    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` of them.
+    Only the deepest folder the prefix names is listed; a folder that does not exist has no objects.
+    The content column of the file source is pruned, so no object is opened. Spark lists folders in
+    parallel tasks once there are more than ``spark.sql.sources.parallelPartitionDiscovery.threshold``
+    of them. Like all of Spark's file sources it passes over names that begin with ``_`` or ``.``.
     """
     root = location.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    folder = prefix.rpartition("/")[0]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.load(f"{root}/{folder}" if folder else root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], OBJECT)
     after_root = F.regexp_replace("path", "^.*?" + _literal(_bare(root)) + "/", "")
     return files.select(
         after_root.alias("key"),
