@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.operators.balances import split_months
 from daybook.operators.constraints import missing_columns
@@ -16,6 +17,11 @@ from daybook.plans.warehouse import audit_constraints
 from daybook.sinks.versions import commit_version, current_version, version_path
 
 FACT = "fact_balance_subaccount"
+INTERVALS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("subaccount_id", "account_id", "company_id")]
+    + [T.StructField(name, T.DateType()) for name in ("first_day", "value_day", "last_day")]
+    + [T.StructField(name, T.DecimalType(18, 2)) for name in ("balance", "carried")]
+)
 
 
 class BrokenConstraints(Exception):
@@ -47,7 +53,8 @@ def load_warehouse(
     intervals = facts.ledger_intervals(tables, LOANS, loans).unionByName(
         facts.ledger_intervals(tables, DEPOSITS, deposits)
     )
-    _stage(intervals, ("subaccount_id", "account_id", "company_id"), f"{staging}/intervals")
+    typed = intervals.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in INTERVALS))
+    _stage(typed, ("subaccount_id", "account_id", "company_id"), f"{staging}/intervals")
     _write_fact(spark, run, staging)
 
     staged = {name: read_staged(spark, staging, name) for name in TARGETS}
@@ -67,20 +74,35 @@ def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_staged(spark: SparkSession, staging: str, name: str) -> DataFrame:
+    """The rows of a staged table that are, or would be, published."""
+    target = TARGETS[name]
     if name == FACT:
-        return spark.read.parquet(f"{staging}/{name}").select(*TARGETS[name].columns)
-    return spark.read.parquet(f"{staging}/{name}").filter("accepted").select(*TARGETS[name].columns)
+        laid_out = T.StructType([*target.schema, T.StructField("month", T.DateType())])
+        return spark.read.schema(laid_out).parquet(f"{staging}/{name}").drop("month")
+    return _read_state(spark, target.schema, f"{staging}/{name}", "accepted").drop("missing")
 
 
 def read_rejects(spark: SparkSession, staging: str, name: str) -> DataFrame:
-    """Rows of a staged table that were not published, with the names of their empty columns."""
-    return spark.read.parquet(f"{staging}/{name}").filter("not accepted").drop("accepted")
+    """Rows of a staged dimension or bridge left out of it, with the names of their empty columns."""
+    return _read_state(spark, TARGETS[name].schema, f"{staging}/{name}", "rejected")
+
+
+def read_rejected_intervals(spark: SparkSession, staging: str) -> DataFrame:
+    """Balance intervals left out of the fact, with the names of their empty columns."""
+    return _read_state(spark, INTERVALS, f"{staging}/intervals", "rejected")
 
 
 def _stage(df: DataFrame, required: tuple[str, ...], path: str) -> None:
     """One pass writes accepted and rejected rows, into a partition each."""
-    marked = df.withColumn("missing", missing_columns(required)).withColumn("accepted", F.col("missing") == "")
-    marked.write.mode("overwrite").option("compression", "zstd").partitionBy("accepted").parquet(path)
+    marked = df.withColumn("missing", missing_columns(required))
+    marked = marked.withColumn("state", F.when(F.col("missing") == "", "accepted").otherwise("rejected"))
+    marked.write.mode("overwrite").option("compression", "zstd").partitionBy("state").parquet(path)
+
+
+def _read_state(spark: SparkSession, schema: T.StructType, path: str, state: str) -> DataFrame:
+    # An explicit schema, as a table without rows leaves no file to take it from.
+    text = [T.StructField(name, T.StringType()) for name in ("missing", "state")]
+    return spark.read.schema(T.StructType([*schema, *text])).parquet(path).filter(F.col("state") == state).drop("state")
 
 
 def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
@@ -89,7 +111,7 @@ def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
     The range shuffle moves intervals cut at month ends, so each task writes few months
     and each month few files.
     """
-    accepted = spark.read.parquet(f"{staging}/intervals").filter("accepted").drop("accepted", "missing")
+    accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
     laid_out = (
         split_months(accepted)
         .repartitionByRange("month", "subaccount_id")

@@ -15,7 +15,8 @@ def inventory(spark: SparkSession, location: str, prefix: str = "") -> DataFrame
     Only the deepest folder the prefix names is listed; a folder that does not exist has no objects.
     The content column of the file source is pruned, so no object is opened. Spark lists folders in
     parallel tasks once there are more than ``spark.sql.sources.parallelPartitionDiscovery.threshold``
-    of them. Like all of Spark's file sources it passes over names that begin with ``_`` or ``.``.
+    of them. Like all of Spark's file sources it passes over empty objects and names that begin with
+    ``_`` or ``.``.
     """
     root = location.rstrip("/")
     folder = prefix.rpartition("/")[0]
