@@ -358,7 +358,7 @@ def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ledger_copy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """An older copy of the orders, and a change batch that overlaps it.
+    """An older copy of the orders, and a change batch that overlaps it, with one row per order.
 
     The batch raises prices and empties the priority of partly filled orders.
     """
@@ -370,7 +370,7 @@ def _ledger_copy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
             "o_orderpriority": F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")),
         }
     )
-    return copy, changed
+    return copy, ops.latest_version(changed, "o_orderkey", ["o_orderdate"])
 
 
 @over_folder

@@ -256,16 +256,20 @@ RECONCILED = {
 }
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
 def _copy_and_changes() -> dict[str, str]:
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ("o_orderdate", *ORDER_COLUMNS))
     return {
         "copy": "SELECT * FROM orders WHERE o_orderdate < DATE '2000-01-01'",
-        "changes": "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice, "
+        "versions": "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice, "
         "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority) "
         "FROM orders WHERE o_orderdate >= DATE '1997-01-01'",
+        "changes": "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY o_orderkey ORDER BY {newest}) AS rn FROM versions) WHERE rn = 1",
     }
 
 
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 UPSERT = (
     "SELECT "
     + ", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in ORDER_COLUMNS)

@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TEXT, INT, SMALL, DAY, FLAG = T.StringType(), T.IntegerType(), T.ShortType(), T.DateType(), T.BooleanType()
@@ -151,10 +150,16 @@ def conform(df: DataFrame, target: Target, run_ts: datetime | None = None) -> Da
     unknown = present - set(target.columns)
     if unknown:
         raise ValueError(f"{target.name} has no column {', '.join(sorted(unknown))}")
-    supplied = target.defaults if run_ts is None else {**target.defaults, "first_uploaded": run_ts}
-    return df.select(
-        *(
-            (F.col(name) if name in present else F.lit(supplied.get(name))).cast(kind).alias(name)
-            for name, kind in target.columns.items()
-        )
+    supplied = dict(target.defaults)
+    if run_ts is not None:
+        supplied["first_uploaded"] = run_ts
+
+    def text(name: str) -> str:
+        if name in present:
+            return f"`{name}`"
+        value = supplied.get(name)
+        return "NULL" if value is None else f"'{value}'"
+
+    return df.selectExpr(
+        *(f"CAST({text(name)} AS {kind.simpleString()}) AS `{name}`" for name, kind in target.columns.items())
     )

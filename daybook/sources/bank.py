@@ -33,10 +33,9 @@ VIEWS: dict[str, str] = {
         FROM {customer}""",
     "account": "SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS institution_id FROM {customer}",
     "ownership_type": """
-        SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS id,
-               substr(o_orderpriority, 3) AS key,
-               CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2', '3') THEN 'MEMBER' ELSE 'ORGANIZATION' END AS type
-        FROM {orders}""",
+        SELECT CAST(r_regionkey AS BIGINT) + 1 AS id, r_name AS key,
+               CASE WHEN r_regionkey < 3 THEN 'MEMBER' ELSE 'ORGANIZATION' END AS type
+        FROM {region}""",
     "member_account": """
         SELECT o_orderkey AS id, o_custkey AS member_id, o_custkey AS account_id,
                CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS ownership_type_id,
@@ -44,11 +43,7 @@ VIEWS: dict[str, str] = {
                o_orderdate AS created_at,
                CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS deleted_at
         FROM {orders}""",
-    "account_type": """
-        SELECT DISTINCT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN CAST(1 AS BIGINT) WHEN 'BUILDING' THEN 2
-                             WHEN 'FURNITURE' THEN 3 WHEN 'MACHINERY' THEN 4 ELSE 5 END AS id,
-               c_mktsegment AS value
-        FROM {customer}""",
+    "account_type": "SELECT CAST(r_regionkey AS BIGINT) + 1 AS id, r_name AS value FROM {region}",
     "loan": """
         SELECT s_suppkey AS id,
                CASE WHEN s_nationkey IN (3, 11) THEN -1 - s_suppkey ELSE s_suppkey END AS account_id,
