@@ -471,7 +471,9 @@ def oracles() -> dict[str, str]:
             "AND d.company_id = b.company_id) GROUP BY member_id, client_id, company_id",
             **BRIDGE_PARTS,
         ),
-        "check_unique": _with("SELECT date, count(*) AS rows FROM loan_txn GROUP BY date HAVING count(*) > 1"),
+        "check_unique": _with(
+            "SELECT date, count(*) AS rows FROM loan_txn WHERE date IS NOT NULL GROUP BY date HAVING count(*) > 1"
+        ),
         "apply_defaults": _with(
             f"SELECT CAST(seq AS VARCHAR) AS transaction_id, {CLIENT} AS client_id, {NO_TEXT} AS company_id, "
             f"'SUB' || CAST(subaccount_id AS VARCHAR) AS subaccount_id, {NO_TEXT} AS account_id, "

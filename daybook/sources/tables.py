@@ -40,6 +40,15 @@ class TableSet(Mapping[str, DataFrame]):
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> TableSet:
         return cls(lambda name: frames[name], lambda: sorted(frames))
 
+    def checked(self, schemas: Mapping[str, str]) -> TableSet:
+        """The same tables, refused on opening where they do not fit their declared schema (DDL text)."""
+
+        def open_checked(name: str) -> DataFrame:
+            df = self[name]
+            return require_schema(df, StructType.fromDDL(schemas[name]), name) if name in schemas else df
+
+        return TableSet(open_checked, self._list)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._plans:
             self._plans[name] = self._open(name)

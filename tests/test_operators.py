@@ -64,7 +64,7 @@ def test_upsert_never_shuffles_the_target_for_a_small_change_set(spark, tmp_path
 KEYED = st.dictionaries(st.integers(0, 8), st.none() | st.sampled_from("xyz"), max_size=8)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(target=KEYED, source=KEYED)
 def test_upsert_and_insert_equal_dict_updates(spark, target, source):
     old, new = frame(spark, list(target.items())), frame(spark, list(source.items()))

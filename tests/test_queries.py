@@ -7,6 +7,7 @@ import pytest
 from conftest import physical_plan
 
 import __spark_entry__ as entry_points
+from daybook import operators as ops
 from daybook.oracle import GIVEN_TABLES
 
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
@@ -72,9 +73,11 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() == 10 * 2469 + 15 * 28
 
 
-def test_null_filters_reach_the_scan(built):
-    plan = physical_plan(built("posted_txns"))
-    assert "Filter" in plan and "PushedFilters: []" not in plan
+def test_null_filters_reach_the_scan(spark, tmp_path):
+    txns = spark.createDataFrame([(1, None, None)], "id int, status string, deleted_at timestamp_ntz")
+    txns.write.parquet(str(tmp_path / "txns"))
+    plan = physical_plan(ops.posted(spark.read.parquet(str(tmp_path / "txns"))))
+    assert "PushedFilters: [IsNull(status), IsNull(deleted_at)]" in plan
 
 
 def test_scan_reads_only_needed_columns(built):

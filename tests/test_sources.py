@@ -8,8 +8,10 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from daybook.sources import (
+    SOURCE_SCHEMAS,
     TableSet,
     apply_rules,
+    bank_tables,
     calendar,
     date_spine,
     inventory,
@@ -100,6 +102,15 @@ def test_required_schema(spark):
         require_schema(df, broken, "t")
 
 
+def test_bank_tables_fit_their_declared_schemas(spark, data):
+    tables = bank_tables(spark, data).checked(SOURCE_SCHEMAS)
+    for name in SOURCE_SCHEMAS:
+        assert tables[name].columns
+    wrong = TableSet.from_frames({"role": spark.range(1)}).checked(SOURCE_SCHEMAS)
+    with pytest.raises(ValueError, match="source role"):
+        wrong["role"]
+
+
 def test_spines(spark):
     days = [(date(2024, 2, 28),), (date(2024, 2, 29),), (date(2024, 3, 1),)]
     assert rows(date_spine(spark, days[0][0], days[-1][0])) == days
