@@ -9,6 +9,7 @@ from daybook.operators.balances import (
     entity_spine,
     expand_days,
     forward_fill,
+    in_range_order,
     latest_per_day,
     posted,
     running_max,
@@ -42,6 +43,7 @@ __all__ = [
     "entity_spine",
     "expand_days",
     "forward_fill",
+    "in_range_order",
     "insert_if_absent",
     "latest_per_day",
     "latest_version",

@@ -111,11 +111,13 @@ def daily_intervals(
 
     The first shuffle carries one row per entity, day and input partition, the second one row
     per entity and day, so a group of the window never exceeds the days in range by more than one.
+    The second one keeps the session's number of partitions: adaptive execution would merge them by
+    their size before the days are spelled out, which is a small part of the size after.
     """
     in_range = F.col(day).between(F.lit(start), F.lit(end)) & F.col(entity).isNotNull()
     outside = [F.when(in_range, F.col(c)).alias(c) for c in (*NEWEST_FIRST, value)]
     scoped = txns.select(entity, F.when(in_range, F.col(day)).alias("__date"), *outside)
-    last = latest_per_day(scoped, entity, "__date", value)
+    last = latest_per_day(scoped, entity, "__date", value).repartition(shuffle_partitions(txns), entity)
 
     by_day = Window.partitionBy(entity).orderBy(F.col("__day").asc_nulls_last())
     tiles = (
@@ -140,6 +142,19 @@ def daily_intervals(
     )
 
 
+def in_range_order(intervals: DataFrame, *columns: str) -> DataFrame:
+    """Intervals in global order of the columns, nulls last, ready to be spelled out in place.
+
+    Sorts like ``orderBy``, in the session's number of partitions (see :func:`daily_intervals`).
+    """
+    order = [F.col(c).asc_nulls_last() for c in columns]
+    return intervals.repartitionByRange(shuffle_partitions(intervals), *order).sortWithinPartitions(*order)
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def split_months(intervals: DataFrame) -> DataFrame:
     """Cut intervals at month ends and name the month each piece lies in by its first day.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import lifecycle_status, prefixed_key
-from daybook.operators.balances import carry_max, expand_days
+from daybook.operators.balances import carry_max, expand_days, in_range_order
 from daybook.operators.reconcile import reconcile
 from daybook.plans import dimensions as dims
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables
@@ -110,7 +110,7 @@ def audit_rows(intervals: DataFrame, run: Run) -> DataFrame:
 def audit_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
     """Daily balances over all transactions with running-maximum gaps, by sub-account and day."""
     intervals = audit_intervals(tables, loans, deposits)
-    return audit_rows(intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day"), run)
+    return audit_rows(in_range_order(intervals, "subaccount_id", "first_day"), run)
 
 
 def reconcile_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:

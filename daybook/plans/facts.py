@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import money, prefixed_key
-from daybook.operators.balances import carry_last, daily_intervals, expand_days, posted
+from daybook.operators.balances import carry_last, daily_intervals, expand_days, in_range_order, posted
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables, placed_accounts
 from daybook.plans.targets import TARGETS, conform
 
@@ -82,7 +82,7 @@ def build_ordered_balance(tables: Tables, run: Run, loans: Span, deposits: Span)
     the range shuffle moves one row per transaction day instead of one per day.
     """
     intervals = ledger_intervals(tables, LOANS, loans).unionByName(ledger_intervals(tables, DEPOSITS, deposits))
-    return fact_rows(intervals.orderBy(F.col("subaccount_id").asc_nulls_last(), "first_day"), run)
+    return fact_rows(in_range_order(intervals, "subaccount_id", "first_day"), run)
 
 
 def empty_transactions(spark: SparkSession) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.operators.balances import split_months
+from daybook.operators.balances import in_range_order, split_months
 from daybook.operators.constraints import missing_columns
 from daybook.plans import dimensions as dims
 from daybook.plans import facts
@@ -112,10 +112,6 @@ def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
     and each month few files.
     """
     accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
-    laid_out = (
-        split_months(accepted)
-        .repartitionByRange("month", "subaccount_id")
-        .sortWithinPartitions("month", "subaccount_id", "first_day")
-    )
+    laid_out = in_range_order(split_months(accepted), "month", "subaccount_id", "first_day")
     fact = facts.fact_rows(laid_out, run).withColumn("month", F.trunc("date", "month"))
     fact.write.mode("overwrite").option("compression", "zstd").partitionBy("month").parquet(f"{staging}/{FACT}")
