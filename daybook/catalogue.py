@@ -162,13 +162,13 @@ def last_txn_per_day(tables: Tables) -> DataFrame:
 
 @over_bank
 def forward_fill_balance(tables: Tables) -> DataFrame:
-    series = ops.spine_with_values(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
+    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
     return ops.forward_fill(series, "loan_id", "balance")
 
 
 @over_bank
 def running_max_balance(tables: Tables) -> DataFrame:
-    series = ops.spine_with_values(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
+    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
     return ops.running_max(series, "loan_id", "balance")
 
 

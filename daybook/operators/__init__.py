@@ -13,7 +13,7 @@ from daybook.operators.balances import (
     latest_per_day,
     posted,
     running_max,
-    spine_with_values,
+    series_with_gaps,
     split_months,
 )
 from daybook.operators.constraints import (
@@ -50,7 +50,7 @@ __all__ = [
     "posted",
     "reconcile",
     "running_max",
-    "spine_with_values",
+    "series_with_gaps",
     "split_months",
     "split_null_keys",
     "split_rejects",

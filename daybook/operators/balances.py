@@ -73,14 +73,6 @@ def running_max(series: DataFrame, entity: str, value: str, day: str = "date", d
     )
 
 
-def spine_with_values(
-    txns: DataFrame, entity: str, start: date, end: date, day: str = "date", value: str = "balance"
-) -> DataFrame:
-    """Entities x days with the last value of each day, null on days without one."""
-    spine = entity_spine(active_entities(txns, entity), start, end)
-    return spine.join(latest_per_day(txns, entity, day, value).withColumnRenamed(day, "date"), [entity, "date"], "left")
-
-
 def carry_last(entity: str) -> Column:
     """Between two transactions, the balance of the earlier one holds."""
     return F.col("balance")
@@ -179,6 +171,21 @@ def expand_days(intervals: DataFrame) -> DataFrame:
     return days.select(*keep, "date", on_day.alias("balance"))
 
 
+def series_with_gaps(
+    txns: DataFrame, entity: str, start: date, end: date, day: str = "date", value: str = "balance"
+) -> DataFrame:
+    """Entities x days with the last value of each day, null on days without one.
+
+    The rows of :func:`entity_spine` joined to :func:`latest_per_day`, but made from intervals: the days
+    arrive partitioned by entity, so neither a join nor a following fill shuffles them.
+    """
+    intervals = daily_intervals(txns, entity, start, end, day, value)
+    days = intervals.select(
+        entity, F.explode(days_between(F.col("first_day"), F.col("last_day"))).alias("date"), "value_day", "balance"
+    )
+    return days.select(entity, "date", F.when(F.col("date") == F.col("value_day"), F.col("balance")).alias(value))
+
+
 def daily_balance(txns: DataFrame, entity: str, start: date, end: date, **columns: str) -> DataFrame:
     """One balance per entity and day: the last known one, zero before the first in range."""
     return expand_days(daily_intervals(txns, entity, start, end, **columns))

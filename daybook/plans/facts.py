@@ -48,13 +48,16 @@ def placed_intervals(tables: Tables, ledger: Ledger, txns: DataFrame, span: Span
 def fact_rows(intervals: DataFrame, run: Run) -> DataFrame:
     """Fact rows of placed intervals, in the order of the intervals."""
     placed = intervals.select(
-        "subaccount_id", "account_id", "company_id", "first_day", "value_day", "last_day", "balance", "carried"
+        "subaccount_id",
+        "account_id",
+        F.col("company_id").cast("string").alias("company_id"),
+        *("first_day", "value_day", "last_day", "balance", "carried"),
     )
     rows = expand_days(placed).select(
         "subaccount_id",
         "account_id",
         F.lit(run.client_id).alias("client_id"),
-        F.col("company_id").cast("string").alias("company_id"),
+        "company_id",
         "date",
         F.col("balance").alias("current_balance"),
     )

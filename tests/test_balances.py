@@ -73,14 +73,31 @@ def expected_series():
     }
 
 
-def spine_and_fill(txns, fill=ops.forward_fill):
-    return fill(ops.spine_with_values(txns, "entity", START, END), "entity", "balance")
+def joined_spine(txns):
+    """Entities x days joined to the last value of each day."""
+    spine = ops.entity_spine(ops.active_entities(txns, "entity"), START, END)
+    return spine.join(ops.latest_per_day(txns, "entity"), ["entity", "date"], "left")
 
 
-@pytest.mark.parametrize("formulation", ["gap expansion", "spine and fill"])
+def spine_and_fill(txns, fill=ops.forward_fill, spine=joined_spine):
+    return fill(spine(txns), "entity", "balance")
+
+
+def gaps_and_fill(txns, fill=ops.forward_fill):
+    return spine_and_fill(txns, fill, lambda t: ops.series_with_gaps(t, "entity", START, END))
+
+
+FORMULATIONS = {
+    "gap expansion": lambda txns: ops.daily_balance(txns, "entity", START, END),
+    "spine and fill": spine_and_fill,
+    "gaps and fill": gaps_and_fill,
+}
+
+
+@pytest.mark.parametrize("formulation", sorted(FORMULATIONS))
 def test_hand_made_cases(spark, formulation):
     txns = ops.posted(case_txns(spark))
-    result = ops.daily_balance(txns, "entity", START, END) if formulation == "gap expansion" else spine_and_fill(txns)
+    result = FORMULATIONS[formulation](txns)
     assert as_series(result) == expected_series()
     assert result.count() == 5 * len(expected_series())
 
@@ -92,6 +109,7 @@ def test_running_max_keeps_the_days_own_value(spark):
     expanded = ops.expand_days(ops.daily_intervals(txns, "entity", START, END, carry=ops.carry_max))
     assert as_series(expanded) == expected
     assert as_series(spine_and_fill(txns, ops.running_max)) == expected
+    assert as_series(gaps_and_fill(txns, ops.running_max)) == expected
 
 
 def test_null_entity_has_the_zero_series(spark):
@@ -163,12 +181,16 @@ def brute_force(txns):
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(drawn=TXNS)
-def test_both_formulations_equal_brute_force(spark, drawn):
+def test_formulations_equal_brute_force(spark, drawn):
     txns = [txn(*t) for t in drawn]
     frame = ops.posted(spark.createDataFrame(txns, SCHEMA))
     expected = brute_force(txns)
-    assert as_series(ops.daily_balance(frame, "entity", START, END)) == expected
-    assert as_series(spine_and_fill(frame)) == expected
+    assert all(as_series(formulation(frame)) == expected for formulation in FORMULATIONS.values())
+
+
+def test_fill_does_not_shuffle_days(spark):
+    txns = ops.posted(case_txns(spark))
+    assert physical_plan(gaps_and_fill(txns)).count("Exchange hashpartitioning") == 2
 
 
 def test_plan_expands_after_the_last_shuffle(spark, data):
