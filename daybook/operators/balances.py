@@ -56,7 +56,8 @@ def entity_spine(entities: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def _so_far(entity: str, day: str) -> Window:
-    return Window.partitionBy(entity).orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_day = Window.partitionBy(entity).orderBy(F.col(day).asc_nulls_last())
+    return by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def forward_fill(series: DataFrame, entity: str, value: str, day: str = "date", default: object = 0) -> DataFrame:
@@ -107,8 +108,8 @@ def daily_intervals(
     their size before the days are spelled out, which is a small part of the size after.
     """
     in_range = F.col(day).between(F.lit(start), F.lit(end)) & F.col(entity).isNotNull()
-    outside = [F.when(in_range, F.col(c)).alias(c) for c in (*NEWEST_FIRST, value)]
-    scoped = txns.select(entity, F.when(in_range, F.col(day)).alias("__date"), *outside)
+    inside = [F.when(in_range, F.col(c)).alias(c) for c in (*NEWEST_FIRST, value)]
+    scoped = txns.select(entity, F.when(in_range, F.col(day)).alias("__date"), *inside)
     last = latest_per_day(scoped, entity, "__date", value).repartition(shuffle_partitions(txns), entity)
 
     by_day = Window.partitionBy(entity).orderBy(F.col("__day").asc_nulls_last())

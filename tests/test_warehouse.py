@@ -31,13 +31,25 @@ def tiny_bank(spark, **replaced):
         "sub_role": ("id int, role_id int", [(1, 1), (2, 2)]),
         "member": (
             "id int, sub_role_id int, institution_id int, created_at string, deleted_at string",
-            [(1, 1, 10, "2020-01-01", None), (2, 2, 10, "2020-01-01", None), (3, 1, None, "oops", "2021-01-01"), (4, 9, 10, None, None)],
+            [
+                (1, 1, 10, "2020-01-01", None),
+                (2, 2, 10, "2020-01-01", None),
+                (3, 1, None, "oops", "2021-01-01"),
+                (4, 9, 10, None, None),
+            ],
         ),
         "account": ("id int, institution_id int", [(1, 10), (2, None)]),
         "ownership_type": ("id int, key string, type string", [(1, "OWNER", "MEMBER"), (2, "FIRM", "ORGANIZATION")]),
         "member_account": (
-            "id int, member_id int, account_id int, ownership_type_id int, is_primary boolean, created_at string, deleted_at string",
-            [(1, 1, 1, 1, True, None, None), (2, 2, 1, 1, False, None, None), (3, 3, 1, 1, False, None, None), (4, 1, 1, 2, True, None, None), (5, 8, 1, 1, True, None, None)],
+            "id int, member_id int, account_id int, ownership_type_id int, is_primary boolean, "
+            "created_at string, deleted_at string",
+            [
+                (1, 1, 1, 1, True, None, None),
+                (2, 2, 1, 1, False, None, None),
+                (3, 3, 1, 1, False, None, None),
+                (4, 1, 1, 2, True, None, None),
+                (5, 8, 1, 1, True, None, None),
+            ],
         ),
         "account_type": ("id int, value string", [(1, "CHECKING")]),
         "loan": (
