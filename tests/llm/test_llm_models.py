@@ -1,0 +1,207 @@
+"""Classifiers on held-out rows; the language model against the plain forward algorithm."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_cases import AWKWARD, LABELS, awkward, documents, labels, lowered, words
+
+from daybook.llm import common, hmm, quality, toxicity
+
+
+def fold(i, folds):
+    return None if i is None else zlib.crc32(str(i).encode()) % folds
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    folder = "/root/testdata/sf0.1"
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_quality_of_held_out_documents(given):
+    docs, known = given
+    got, want = by_id(quality.quality(docs, known)), {r.doc_id: r.quality for r in known.collect()}
+    assert all(r.held_out == (fold(i, 3) == 1) for i, r in got.items())
+    out = [i for i in want if got[i].held_out]
+    assert len(out) > 1000 and sum(got[i].predicted == want[i] for i in out) >= 0.98 * len(out)
+    clean = [i for i in out if want[i]]
+    assert sum(got[i].predicted for i in clean) >= 0.99 * len(clean)
+
+
+INSULTS = {"idiot", "clown", "moron", "disgusting", "loser", "stupid", "scum", "worthless", "trash", "pathetic"}
+
+
+def test_toxicity_of_held_out_documents(given):
+    docs, known = given
+    got, want = by_id(toxicity.toxicity(docs, known)), {r.doc_id: r.toxic for r in known.collect()}
+    assert all(r.held_out == (fold(i, 5) == 0) for i, r in got.items())
+    # Labels of texts in three languages mark documents without any insult; those nothing can learn.
+    insulting = {r.doc_id for r in docs.collect() if INSULTS & set(words(lowered(r.text).replace(",", " ").replace(".", " ")))}
+    out = [i for i in want if got[i].held_out]
+    found = [got[i].predicted for i in out if want[i] and i in insulting]
+    assert sum(found) >= 0.85 * len(found) > 30
+    clean = [got[i].predicted for i in out if not want[i]]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
+def test_misspellings_share_vectors():
+    def shared(a, b):
+        places = [set(toxicity.subwords([w])[0].tolist()) for w in (a, b)]
+        return len(places[0] & places[1]) / len(places[0])
+
+    assert shared("worthless", "worthles") > 0.5 > shared("worthless", "kindness") and shared("idiot", "idiot!!") == 1
+
+
+def test_subwords_of_several_words_are_those_of_each():
+    several = ["idiot", "", "é", "日本語!", "ab"]
+    places, sizes = toxicity.subwords(several)
+    for word, own in zip(several, np.split(places, np.cumsum(sizes)[:-1]), strict=True):
+        assert own.tolist() == toxicity.subwords([word])[0].tolist()
+
+
+@pytest.mark.parametrize("model", [quality.quality, toxicity.toxicity])
+def test_classifiers_of_awkward_rows(spark, model):
+    got = model(awkward(spark), labels(spark)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in AWKWARD)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.held_out for r in got if r.doc_id is None)
+    without = model(awkward(spark), labels(spark).filter("false")).collect()
+    assert {r.score for r in without} == {0.5}
+    assert model(awkward(spark).filter("false"), labels(spark)).collect() == []
+
+
+def test_labels_of_held_out_rows_are_not_used(spark, given):
+    docs, known = (df.filter("doc_id < 300") for df in given)
+    other = known.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 1 - quality, quality) as quality", "toxic")
+    assert sorted(quality.quality(docs, known).collect()) == sorted(quality.quality(docs, other).collect())
+
+
+def test_rejected_documents_go_and_columns_stay(spark, given):
+    docs, known = given
+    some = docs.filter("doc_id < 500").selectExpr("*", "1 as score", "2 as row")
+    scores = by_id(quality.quality(docs, known).filter("doc_id < 500"))
+    out = quality.good(docs.selectExpr("*", "1 as score", "2 as row"), known).filter("doc_id < 500")
+    assert out.columns == some.columns
+    assert {r.doc_id for r in out.collect()} == {i for i, r in scores.items() if r.predicted}
+
+
+def test_bounded_sample_is_of_learnable_rows(given):
+    docs, known = given
+    drawn = common.labelled_sample(docs, known, "toxic", 5, 0, 500).count()
+    assert 400 < drawn < 600
+
+
+def test_words_follow_the_definition():
+    for _, text, *_ in AWKWARD:
+        distinct, codes, sizes = common.words_of(pa.array([text or ""], pa.large_string()))
+        assert [distinct[c] for c in codes] == words(lowered(text)) and sizes.tolist() == [len(words(text))]
+
+
+# Language model
+
+TEXTS = [
+    (i, " ".join(("The" if (i + j) % 5 else "rare%d" % i) if j % 2 else "w%d" % ((i * j) % 11) for j in range(i % 17)), "s")
+    for i in range(120)
+]
+
+
+def plain_forward(model, classes):
+    total, state = 0.0, [float(p) for p in model.start]
+    for t, c in enumerate(classes):
+        if t:
+            state = [sum(state[i] * model.move[i][k] for i in range(len(state))) for k in range(len(state))]
+        state = [s * model.emit[c][k] for k, s in enumerate(state)]
+        total += math.log(sum(state))
+        state = [s / sum(state) for s in state]
+    return total
+
+
+@pytest.mark.parametrize("most", [1 << 19, 5, 0])
+def test_language_model_by_definition(spark, most):
+    rows = [*TEXTS, (None, "The w1", "s"), (3, "a b", "s"), (500, None, "s"), (501, "", "s"), (502, "  x ", None)]
+    got = hmm.language_model(documents(spark, rows), most=most, rounds=2).collect()
+    tokens = [(i, [*words(lowered(t)), None]) for i, t, _ in rows]
+    counts = Counter(w for i, own in tokens if fold(i, 7) not in (2, None) for w in own)
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(i), fold(i, 7) in (2, None), len(own), sum(counts[w] > 0 for w in own), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own), 6))
+        for i, own in tokens
+    )
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+    full = hmm.language_model(documents(spark, rows), rounds=2).collect()
+    scores = lambda rs: sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in rs)
+    assert scores(got) == scores(full)
+
+
+def test_scaled_forward_is_the_plain_one():
+    draw = np.random.default_rng(4)
+    model = hmm.Model.drawn(draw.integers(0, 50, hmm.CLASSES))
+    lengths = np.array([1, 700, 3, 3, 1300, 12])
+    classes = draw.integers(0, hmm.CLASSES, lengths.sum())
+    got = hmm.likelihoods(model, classes, lengths)
+    want = [plain_forward(model, own) for own in np.split(classes, np.cumsum(lengths)[:-1])]
+    assert got == pytest.approx(want, rel=1e-10)
+
+
+def test_expected_counts_are_those_of_all_paths(monkeypatch):
+    monkeypatch.setattr(hmm, "STATES", 2)
+    draw = np.random.default_rng(5)
+    emit = draw.random((hmm.CLASSES, 2))
+    model = hmm.Model(np.array([0.3, 0.7]), np.array([[0.8, 0.2], [0.4, 0.6]]), emit / emit.sum(axis=0))
+    sequences = [np.array([5, 6, 5, 7, 6]), np.array([7]), np.array([6, 6, 5])]
+    start, move, seen = np.zeros(2), np.zeros((2, 2)), np.zeros((hmm.CLASSES, 2))
+    for own in sequences:
+        paths = [tuple(int(c) for c in f"{x:0{len(own)}b}") for x in range(2 ** len(own))]
+        p = np.array(
+            [
+                model.start[s[0]]
+                * np.prod([model.move[a, b] for a, b in zip(s, s[1:], strict=False)])
+                * np.prod([model.emit[c, k] for c, k in zip(own, s, strict=True)])
+                for s in paths
+            ]
+        )
+        for s, weight in zip(paths, p / p.sum(), strict=True):
+            start[s[0]] += weight
+            for a, b in zip(s, s[1:], strict=False):
+                move[a, b] += weight
+            for c, k in zip(own, s, strict=True):
+                seen[c, k] += weight
+    got = hmm.expected(model, iter(sequences))
+    for have, want in zip(got, (start, move, seen), strict=True):
+        assert have == pytest.approx(want)
+
+
+def test_model_beats_the_base_on_held_out_texts(given):
+    docs, _ = given
+    got = hmm.language_model(docs).filter("held_out").selectExpr("sum(score) as s", "sum(base_score) as b", "sum(n_tokens) as n").first()
+    assert got.s / got.n > got.b / got.n + 0.1
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    # A class's words and the place for words unseen share what the class has.
+    tokens, distinct = np.array([9, 4]), np.array([3, 2])
+    counts = [[5, 3, 1], [2, 2]]
+    for own, n, v in zip(counts, tokens, distinct, strict=True):
+        assert sum((c + 1) / (n + v + 1) for c in own) + 1 / (n + v + 1) == pytest.approx(1)
+
+
+def test_language_model_of_awkward_and_no_rows(spark):
+    got = hmm.language_model(awkward(spark)).collect()
+    assert len(got) == len(AWKWARD) and all(math.isfinite(r.score) and r.score < 0 for r in got)
+    long_ = next(r for r in got if r.doc_id == 5)
+    assert long_.n_tokens == 30_001
+    assert hmm.language_model(awkward(spark).filter("false")).collect() == []
+    unlearned = hmm.language_model(awkward(spark).filter("doc_id is null")).collect()
+    assert all(r.train_tokens == 0 and math.isfinite(r.score) and math.isfinite(r.base_score) for r in unlearned)
+
+
+def test_labels_schema_is_the_given_one(spark):
+    assert spark.createDataFrame([], LABELS).columns == spark.read.parquet("/root/testdata/sf0.001/labels.parquet").columns
