@@ -8,9 +8,10 @@ from conftest import physical_plan
 
 import __spark_entry__ as entry_points
 from daybook import operators as ops
-from daybook.oracle import GIVEN_TABLES
+from daybook.catalogue import catalogue
+from daybook.oracle import GIVEN_TABLES, oracles
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalogue(), oracles()
 WITHOUT_SQL = {"object_inventory", "object_inventory_summary", "dictionary_items"}
 
 
