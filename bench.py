@@ -24,6 +24,8 @@ HEADLINE = (
     "forward_fill_balance",
     "running_max_balance",
     "audit_fact",
+    "constraint_audit",
+    "reconcile_dims",
     "reconcile_fact",
     "dim_member",
     "dim_subaccount",

@@ -16,13 +16,12 @@ from daybook.plans import DEPOSITS, LOANS, TARGETS, Run, Span, audit, audit_cons
 from daybook.plans import dimensions as dims
 from daybook.plans import facts
 from daybook.plans.dimensions import Tables
+from daybook.scratch import kept
 from daybook.sources import (
     TableSet,
     apply_rules,
     bank_tables,
     calendar,
-    inventory,
-    inventory_summary,
     observed_spine,
     parse_rules,
 )
@@ -123,16 +122,6 @@ def date_spine(tables: Tables) -> DataFrame:
     return observed_spine(tables["loan_txn"], "date")
 
 
-@over_folder
-def object_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    return inventory(spark, folder)
-
-
-@over_folder
-def object_inventory_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return inventory_summary(inventory(spark, folder), folder)
-
-
 # --- daily series --------------------------------------------------------------------------------
 
 
@@ -351,26 +340,32 @@ def rejects(tables: Tables) -> DataFrame:
 @over_folder
 def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
     built = build_warehouse(spark, bank_tables(spark, folder), RUN, LOAN_SPAN, DEPOSIT_SPAN)
-    return audit_constraints(built, last_days=(LOAN_SPAN.end, DEPOSIT_SPAN.end))
+    return audit_constraints({name: kept(df, name) for name, df in built.items()})
 
 
 # --- copies and dictionaries ---------------------------------------------------------------------
 
 
 def _ledger_copy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """An older copy of the orders, and a change batch that overlaps it, with one row per order.
+    """An older copy of the orders, and a change batch that overlaps it, with repeated and with null keys.
 
-    The batch raises prices and empties the priority of partly filled orders.
+    The batch raises prices and empties the priority of partly filled orders; finished orders come with an older
+    version too, and urgent ones once more without their key. Rows without a key are not versions of each other.
     """
     orders = TableSet.from_directory(spark, folder)["orders"]
     copy = orders.filter(F.col("o_orderdate") < F.lit(date(2000, 1, 1)))
-    changed = orders.filter(F.col("o_orderdate") >= F.lit(date(1997, 1, 1))).withColumns(
+    newer = orders.filter(F.col("o_orderdate") >= F.lit(date(1997, 1, 1))).withColumns(
         {
             "o_totalprice": F.col("o_totalprice") + 1,
             "o_orderpriority": F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")),
         }
     )
-    return copy, ops.latest_version(changed, "o_orderkey", ["o_orderdate"])
+    older = newer.filter(F.col("o_orderstatus") == "F").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 100, "o_orderdate": F.col("o_orderdate") - F.expr("interval 1 day")}
+    )
+    keyless = newer.filter(F.col("o_orderpriority") == "1-URGENT").withColumn("o_orderkey", F.lit(None).cast("long"))
+    keyed = ops.latest_version(newer.unionByName(older), "o_orderkey", ["o_orderdate"])
+    return copy, keyed.unionByName(keyless)
 
 
 @over_folder

@@ -6,6 +6,7 @@ from daybook.operators.balances import (
     carry_max,
     daily_balance,
     daily_intervals,
+    days_in_order,
     entity_spine,
     expand_days,
     forward_fill,
@@ -37,6 +38,7 @@ __all__ = [
     "check_unique",
     "daily_balance",
     "daily_intervals",
+    "days_in_order",
     "dictionary_attributes",
     "dictionary_counts",
     "dictionary_items",

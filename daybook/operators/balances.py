@@ -135,6 +135,17 @@ def daily_intervals(
     )
 
 
+def days_in_order(intervals: DataFrame, entity: str) -> DataFrame:
+    """Days of the intervals in global order of entity and day, nulls last.
+
+    Intervals move to ranges of the entity alone; days are spelled out there and sorted in place, so an entity whose
+    intervals overlap keeps its days in order too, and no day is shuffled.
+    """
+    order = F.col(entity).asc_nulls_last()
+    ranged = intervals.repartitionByRange(shuffle_partitions(intervals), order)
+    return expand_days(ranged).sortWithinPartitions(order, F.col("date").asc_nulls_last())
+
+
 def in_range_order(intervals: DataFrame, *columns: str) -> DataFrame:
     """Intervals in global order of the columns, nulls last, ready to be spelled out in place.
 
@@ -145,7 +156,12 @@ def in_range_order(intervals: DataFrame, *columns: str) -> DataFrame:
 
 
 def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions that days are spelled out in: the session's ``daybook.series.partitions``, else its shuffle partitions.
+
+    Set it to the expected number of days over the rows that a task should write.
+    """
+    conf = df.sparkSession.conf
+    return int(conf.get("daybook.series.partitions", None) or conf.get("spark.sql.shuffle.partitions"))
 
 
 def split_months(intervals: DataFrame) -> DataFrame:

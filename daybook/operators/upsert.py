@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,34 +24,45 @@ def split_null_keys(source: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return source.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNull())
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
+def fitted(target: DataFrame, source: DataFrame, new_columns: str = "fail") -> tuple[DataFrame, DataFrame]:
+    """Both with the target's columns, and those that only the source has: ``new_columns`` is "fail" or "add".
+
+    A column the source lacks is null in its rows. Types follow the target.
+    """
+    if new_columns not in ("fail", "add"):
+        raise ValueError(f"new_columns is 'fail' or 'add', not {new_columns!r}")
+    extra = [c for c in source.columns if c not in target.columns]
+    if extra and new_columns == "fail":
+        raise ValueError(f"the target has no column {', '.join(extra)}; add it by new_columns='add'")
+    kinds = dict(target.dtypes) | {c: source.schema[c].dataType.simpleString() for c in extra}
+    null = {c: F.lit(None).cast(kind) for c, kind in kinds.items()}
+    wide = target.select(*target.columns, *(null[c].alias(c) for c in extra))
+    here = set(source.columns)
+    return wide, source.select(*((F.col(c) if c in here else null[c]).cast(kinds[c]).alias(c) for c in wide.columns))
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str = "id", new_columns: str = "fail") -> DataFrame:
     """Target after a merge: matched rows take every column of the source, nulls included;
     source rows without a match are added; nothing is deleted.
 
     The source must hold each key once (see :func:`latest_version`); a null key matches nothing
-    and is added. Columns follow the target.
+    and is added. A column that only the source has is an error, or added (see :func:`fitted`).
 
-    Updates and inserts are separate branches on purpose. The target is only ever the streamed
-    side of a left join: with a change set small enough to broadcast it is not shuffled at all,
-    and otherwise a hot or null key on it can be split, which a full outer join does not allow.
+    One full outer join, so target and source are evaluated once each. Null keys meet nothing: a number beside
+    them spreads them over the tasks.
     """
-    changes = source.select(*target.columns)
-    incoming = F.struct(*target.columns).alias("__new")
-    merged = target.join(
-        changes.select(F.col(key).alias("__key"), incoming), F.col(key) == F.col("__key"), "left"
-    ).select(*(_take(c, c) for c in target.columns))
-    present = target.select(key).join(changes.select(key), key, "left_semi").distinct()
-    added = changes.join(present, key, "left_anti")
-    return merged.unionByName(added)
-
-
-def _take(new: str, old: str) -> Column:
-    matched = F.col("__key").isNotNull()
-    return F.when(matched, F.col(f"__new.{new}")).otherwise(F.col(old)).alias(old)
+    old, new = fitted(target, source, new_columns)
+    columns = old.columns
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*columns), F.lit(1 << 20))).otherwise(F.lit(0))
+    left = old.select(F.struct(*columns).alias("__old"), F.col(key).alias("__old_key"), spread.alias("__old_spread"))
+    right = new.select(F.struct(*columns).alias("__new"), F.col(key).alias("__new_key"), spread.alias("__new_spread"))
+    same = (F.col("__old_key") == F.col("__new_key")) & (F.col("__old_spread") == F.col("__new_spread"))
+    row = F.coalesce("__new", "__old")
+    return left.join(right, same, "full").select(row.alias("__row")).select(*(F.col(f"__row.{c}").alias(c) for c in columns))
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
+def insert_if_absent(target: DataFrame, source: DataFrame, key: str = "id", new_columns: str = "fail") -> DataFrame:
     """Target plus the source rows whose key it lacks; rows already there stay as they are."""
-    rows = source.select(*target.columns)
-    present = target.select(key).join(rows.select(key), key, "left_semi").distinct()
-    return target.unionByName(rows.join(present, key, "left_anti"))
+    old, rows = fitted(target, source, new_columns)
+    present = old.select(key).join(rows.select(key), key, "left_semi").distinct()
+    return old.unionByName(rows.join(present, key, "left_anti"))

@@ -265,14 +265,17 @@ def _copy_and_changes() -> dict[str, str]:
         "versions": "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice, "
         "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority) "
         "FROM orders WHERE o_orderdate >= DATE '1997-01-01'",
+        "all_versions": "SELECT * FROM versions UNION ALL SELECT * REPLACE (o_totalprice + 100 AS o_totalprice, "
+        "o_orderdate - INTERVAL 1 DAY AS o_orderdate) FROM versions WHERE o_orderstatus = 'F'",
         "changes": "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY o_orderkey ORDER BY {newest}) AS rn FROM versions) WHERE rn = 1",
+        f"(PARTITION BY o_orderkey ORDER BY {newest}) AS rn FROM all_versions) WHERE rn = 1 "
+        "UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_orderkey) FROM versions WHERE o_orderpriority = '1-URGENT'",
     }
 
 
 UPSERT = (
     "SELECT "
-    + ", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in ORDER_COLUMNS)
+    + ", ".join(f"CASE WHEN s.o_custkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in ORDER_COLUMNS)
     + " FROM copy AS t FULL JOIN changes AS s ON s.o_orderkey = t.o_orderkey"
 )
 INSERT_IF_ABSENT = (
@@ -309,6 +312,28 @@ def _dictionary_attributes() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# Numbers and booleans, which JSON shows without quotes.
+DICTIONARY_BARE = {("member_status", "open"), ("member_status", "largest"), ("sub_role", "role_id")}
+
+
+def _json_text(text: str) -> str:
+    return f"to_json(CAST({text} AS VARCHAR))"
+
+
+def _dictionary_items() -> str:
+    """JSON text with the columns in their order; text is quoted, numbers and booleans are not, nulls are left out."""
+    parts = []
+    for table, columns in DICTIONARY_COLUMNS.items():
+        fields = ", ".join(
+            f"'\"{c}\":' || {text if (table, c) in DICTIONARY_BARE else _json_text(text)}" for c, text in columns.items()
+        )
+        parts.append(
+            f"SELECT '{table}' || CAST(id AS VARCHAR) AS id, CAST(id AS VARCHAR) AS source_id, '{table}' AS source_table, "
+            f"'{{' || concat_ws(',', {fields}) || '}}' AS attributes FROM {table}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
 def _counts(tables: list[str], where: str = "") -> str:
     return "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}{where}" for t in tables)
 
@@ -349,7 +374,6 @@ def _audit_rows() -> tuple[str, dict[str, str]]:
         "fact_balance_subaccount": "t_fact",
         "fact_transactions": "t_transactions",
     }
-    last_days = f"(DATE '{cat.LOAN_SPAN.end}', DATE '{cat.DEPOSIT_SPAN.end}')"
     rows = []
     for name, target in cat.TARGETS.items():
         table = alias[name]
@@ -361,8 +385,7 @@ def _audit_rows() -> tuple[str, dict[str, str]]:
             report("not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL")
         key = ", ".join(target.key)
         nulls = " OR ".join(f"{c} IS NULL" for c in target.key)
-        where = f" WHERE date IN {last_days}" if "date" in target.key else ""
-        keys = f"SELECT {key} FROM {table}{where} GROUP BY {key} HAVING count(*) > 1 OR {nulls}"
+        keys = f"SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1 OR {nulls}"
         report("primary_key", ",".join(target.key), f"SELECT count(*) FROM ({keys})")
         for c in target.unique:
             repeated = f"SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
@@ -384,7 +407,7 @@ def _empty(kind: str, *names: str) -> str:
 
 
 def oracles() -> dict[str, str]:
-    """Query name to SQL. The object listing and the JSON items have none."""
+    """Query name to SQL."""
     audit_body, audit_parts = _audit_rows()
     dim_bridge = _with(BRIDGE_KNOWN, **BRIDGE_PARTS)
     required = ["subaccount_id", "account_id", "client_id", "company_id"]
@@ -494,6 +517,7 @@ def oracles() -> dict[str, str]:
             "OVER (PARTITION BY subaccount_id ORDER BY created_at DESC NULLS LAST, seq DESC NULLS LAST) AS rn "
             "FROM subaccount_txn) WHERE rn = 1"
         ),
+        "dictionary_items": _with(_dictionary_items()),
         "dictionary_attrs": _with(_dictionary_attributes()),
         "dictionary_counts": _with(
             "\nUNION ALL\n".join(

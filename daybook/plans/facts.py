@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import money, prefixed_key
-from daybook.operators.balances import carry_last, daily_intervals, expand_days, in_range_order, posted
+from daybook.operators.balances import carry_last, daily_intervals, days_in_order, expand_days, posted
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables, placed_accounts
 from daybook.plans.targets import TARGETS, conform
 
@@ -28,6 +28,17 @@ def ledger_txns(tables: Tables, ledger: Ledger) -> DataFrame:
     return txns.withColumns({"date": F.to_date("date"), "balance": money("balance")})
 
 
+def unparsed_balances(tables: Tables, ledger: Ledger) -> DataFrame:
+    """Posted transactions whose balance is there but is no amount; the day before's balance stands in for them."""
+    lost = F.col("balance").isNotNull() & money("balance").isNull()
+    return posted(tables[ledger.txns]).filter(lost).select(
+        F.lit(ledger.txns).alias("ledger"),
+        F.col(ledger.txn_holder).cast("string").alias("holder"),
+        F.to_date("date").alias("date"),
+        F.col("balance").cast("string").alias("balance"),
+    )
+
+
 def placed_intervals(tables: Tables, ledger: Ledger, txns: DataFrame, span: Span, carry=carry_last) -> DataFrame:
     """Balance intervals with the holder's account and institution.
 
@@ -53,7 +64,11 @@ def fact_rows(intervals: DataFrame, run: Run) -> DataFrame:
         F.col("company_id").cast("string").alias("company_id"),
         *("first_day", "value_day", "last_day", "balance", "carried"),
     )
-    rows = expand_days(placed).select(
+    return _fact_days(expand_days(placed), run)
+
+
+def _fact_days(days: DataFrame, run: Run) -> DataFrame:
+    rows = days.select(
         "subaccount_id",
         "account_id",
         F.lit(run.client_id).alias("client_id"),
@@ -81,11 +96,11 @@ def build_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> Data
 def build_ordered_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
     """Daily balances by sub-account and day, in global order.
 
-    Intervals are sorted, not days: each interval is spelled out in place and in order, so
-    the range shuffle moves one row per transaction day instead of one per day.
+    The range shuffle moves intervals, one row per transaction day instead of one per day.
     """
     intervals = ledger_intervals(tables, LOANS, loans).unionByName(ledger_intervals(tables, DEPOSITS, deposits))
-    return fact_rows(in_range_order(intervals, "subaccount_id", "first_day"), run)
+    text = intervals.withColumn("company_id", F.col("company_id").cast("string"))
+    return _fact_days(days_in_order(text, "subaccount_id"), run)
 
 
 def empty_transactions(spark: SparkSession) -> DataFrame:

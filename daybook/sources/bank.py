@@ -11,6 +11,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.sources.schemas import SOURCE_SCHEMAS
 from daybook.sources.tables import TableSet
 
 VIEWS: dict[str, str] = {
@@ -107,10 +108,10 @@ def _spark_sql(view: str) -> str:
 
 
 def bank_tables(spark: SparkSession, directory: str) -> TableSet:
-    """Lazy bank tables over the Parquet files of one directory."""
+    """Lazy bank tables over the Parquet files of one directory, refused where they do not fit their declared schema."""
     base = TableSet.from_directory(spark, directory)
 
     def define(view: str) -> DataFrame:
         return spark.sql(_spark_sql(view), **{name: base[name] for name in base_tables(view)})
 
-    return TableSet(define, lambda: sorted(VIEWS))
+    return TableSet(define, lambda: sorted(VIEWS)).checked(SOURCE_SCHEMAS)

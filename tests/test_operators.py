@@ -53,12 +53,26 @@ def test_upsert_follows_the_targets_columns(spark):
     assert ops.upsert(frame(spark, [(1, "a")]), source).columns == ["id", "v"]
 
 
-def test_upsert_never_shuffles_the_target_for_a_small_change_set(spark, tmp_path):
+def test_upsert_scans_each_input_once(spark, tmp_path):
     for name, rows_ in (("target", 100_000), ("changes", 10)):
         spark.range(rows_).selectExpr("id", "'v' as v").write.parquet(str(tmp_path / name))
     target, changes = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "changes"))
-    plan = physical_plan(ops.upsert(target, changes))
-    assert "LeftOuter, BuildRight" in plan and "SortMergeJoin" not in plan
+    plan = physical_plan(ops.upsert(target, ops.latest_version(changes, "id", ["v"])))
+    assert plan.count("FileScan") == 2 and plan.count("FullOuter") == 1
+
+
+def test_upsert_refuses_or_adds_new_columns(spark):
+    target, source = frame(spark, [(1, "a"), (2, "b")]), frame(spark, [(2, "B", 7)], "id int, v string, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        ops.upsert(target, source)
+    assert rows(ops.upsert(target, source, new_columns="add")) == [(1, "a", None), (2, "B", 7)]
+
+
+def test_upsert_takes_missing_columns_as_null_and_keeps_all_null_keys(spark):
+    target = frame(spark, [(1, "a"), (None, "n"), (None, "n")])
+    assert rows(ops.upsert(target, frame(spark, [(1,), (None,)], "id int"))) == rows(
+        frame(spark, [(1, None), (None, "n"), (None, "n"), (None, None)])
+    )
 
 
 KEYED = st.dictionaries(st.integers(0, 8), st.none() | st.sampled_from("xyz"), max_size=8)
