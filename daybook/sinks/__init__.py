@@ -2,21 +2,25 @@
 
 from daybook.sinks.items import publish_items
 from daybook.sinks.jdbc import append_in_order
-from daybook.sinks.lake import copy_tables, create_copy, merge_copy, upsert_copy
-from daybook.sinks.versions import commit_version, current_version, read_current, write_version
+from daybook.sinks.lake import CopiesFailed, copy_tables, copy_to_catalog, create_copy, merge_copy, read_copy, upsert_copy
+from daybook.sinks.versions import VersionExists, commit_version, current_path, current_version, write_version
 from daybook.sinks.warehouse import BrokenConstraints, load_warehouse, read_warehouse
 
 __all__ = [
     "BrokenConstraints",
+    "CopiesFailed",
+    "VersionExists",
     "append_in_order",
     "commit_version",
     "copy_tables",
+    "copy_to_catalog",
     "create_copy",
+    "current_path",
     "current_version",
     "load_warehouse",
     "merge_copy",
     "publish_items",
-    "read_current",
+    "read_copy",
     "read_warehouse",
     "upsert_copy",
     "write_version",

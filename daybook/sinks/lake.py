@@ -1,16 +1,58 @@
-"""Copies of source tables, kept up to date by key."""
+"""Copies of source tables, kept up to date by key.
+
+A copy lies in buckets of its key's hash. An update reads and writes only the buckets that its rows fall in; the commit
+names, for each bucket, the attempt that wrote it last.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-
-from daybook.operators.upsert import latest_version, split_null_keys, upsert
-from daybook.sinks.versions import commit_version, current_version, read_current, write_version
+from pyspark.sql import types as T
+
+from daybook.operators.upsert import fitted, latest_version, split_null_keys, upsert
+from daybook.sinks.versions import (
+    attempt_path,
+    commit_version,
+    latest_commit,
+    new_attempt,
+    refuse_committed,
+    write_version,
+)
 
 REPORT = "table_name string, action string, error string"
+BUCKETS = 64
+_BUCKET = "__bucket"
+
+
+class CopiesFailed(Exception):
+    """Some tables were not copied; ``report`` has a row ``table_name, action, error`` for each table."""
+
+    def __init__(self, report: list[tuple[str, str, str | None]]):
+        self.report = report
+        super().__init__("; ".join(f"{name}: {error}" for name, _, error in report if error))
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    # As text, so that a key keeps its bucket when its type is widened.
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def read_copy(spark: SparkSession, root: str) -> DataFrame:
+    """The copy as of its latest commit."""
+    last = latest_commit(spark, root)
+    if last is None:
+        raise FileNotFoundError(f"nothing committed under {root}")
+    return _read_buckets(spark, root, last, sorted(last.parts))
+
+
+def _read_buckets(spark: SparkSession, root: str, commit: Row, buckets: Sequence[int]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(commit.layout))
+    paths = [f"{attempt_path(root, commit.parts[b])}/{_BUCKET}={b}" for b in buckets]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def upsert_copy(
@@ -20,25 +62,47 @@ def upsert_copy(
     version: str,
     key: str = "id",
     order: Sequence[str] = (),
+    new_columns: str = "fail",
+    buckets: int = BUCKETS,
 ) -> str:
-    """Bring the copy under ``root`` up to date with ``source``; returns what was done.
+    """Bring the copy under ``root`` up to date with ``source``, under a label not used before; returns what was done.
 
-    The first call creates the copy. Rows with a null key cannot be placed by later calls either:
-    they are kept apart, under ``<root>/rejected``. ``order`` names the columns that tell the newest
-    of several source rows of a key; without it the source must hold each key once.
+    The first call creates the copy and fixes its number of buckets. Rows with a null key cannot be placed by later
+    calls either: they are kept apart, under ``<root>/rejected``. ``order`` names the columns that tell the newest
+    of several source rows of a key; without it the source must hold each key once. ``new_columns`` says what
+    a column means that the copy lacks (see :func:`daybook.operators.upsert.fitted`).
     """
-    if current_version(spark, root) == version:
-        return "unchanged"
+    refuse_committed(spark, root, version)
     keyed, rejected = split_null_keys(source, key)
     if order:
         keyed = latest_version(keyed, key, order)
     else:
         _require_one_row_per_key(keyed, key)
-    exists = current_version(spark, root) is not None
-    write_version(upsert(read_current(spark, root), keyed, key) if exists else keyed, root, version)
+    last = latest_commit(spark, root)
+    parts = dict(last.parts) if last else {}
+    if last:
+        buckets = json.loads(last.layout)["buckets"]
+        # One small row a bucket.
+        touched = sorted(r.b for r in keyed.select(bucket_of(key, buckets).alias("b")).distinct().collect())
+        old = _read_buckets(spark, root, last, [b for b in touched if b in parts])
+        wide, _ = fitted(old, keyed, new_columns)
+        merged = upsert(old, keyed, key, new_columns)
+        schema = wide.schema
+    else:
+        merged, schema = keyed, keyed.schema
+    attempt = new_attempt(version)
+    laid_out = merged.withColumn(_BUCKET, bucket_of(key, buckets))
+    writer = laid_out.repartition(_BUCKET).write.mode("errorifexists").option("compression", "zstd")
+    writer.partitionBy(_BUCKET).parquet(attempt_path(root, attempt))
+    if last:
+        written = touched
+    else:
+        written = [r.b for r in keyed.select(bucket_of(key, buckets).alias("b")).distinct().collect()]
     write_version(rejected, f"{root.rstrip('/')}/rejected", version)
-    commit_version(spark, root, version)
-    return "merged" if exists else "created"
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    layout = json.dumps({**nullable.jsonValue(), "buckets": buckets})
+    commit_version(spark, root, version, attempt, parts | dict.fromkeys(written, attempt), layout)
+    return "merged" if last else "created"
 
 
 def _require_one_row_per_key(source: DataFrame, key: str) -> None:
@@ -48,20 +112,65 @@ def _require_one_row_per_key(source: DataFrame, key: str) -> None:
 
 
 def copy_tables(
-    spark: SparkSession, tables: Mapping[str, DataFrame], lake: str, version: str, key: str = "id"
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    lake: str,
+    version: str,
+    key: str = "id",
+    orders: Mapping[str, Sequence[str]] | None = None,
+    new_columns: str = "fail",
 ) -> DataFrame:
     """Copy or merge every table into ``<lake>/<table>``; rows ``table_name, action, error``.
 
-    A table that fails does not stop the others. The caller decides what an error means:
-    ``report.filter("error is not null").isEmpty()``.
+    ``orders`` has the ordering columns of tables that may hold a key several times. A table that fails does not
+    stop the others; if any did, :class:`CopiesFailed` is raised after the last.
+    """
+
+    def copy(name: str) -> str:
+        order = (orders or {}).get(name, ())
+        return upsert_copy(spark, tables[name], f"{lake.rstrip('/')}/{name}", version, key, order, new_columns)
+
+    return _each(spark, tables, copy)
+
+
+def copy_to_catalog(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    namespace: str,
+    provider: str = "iceberg",
+    key: str = "id",
+    orders: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Create or merge every table as ``<namespace>.<table>`` of the catalog; reports and fails like :func:`copy_tables`.
+
+    Null keys are left out: no later merge could place them.
     """
-    report = []
+
+    def copy(name: str) -> str:
+        keyed, _ = split_null_keys(tables[name], key)
+        if order := (orders or {}).get(name, ()):
+            keyed = latest_version(keyed, key, order)
+        else:
+            _require_one_row_per_key(keyed, key)
+        table = f"{namespace}.{name}"
+        if spark.catalog.tableExists(table):
+            merge_copy(keyed, table, key)
+            return "merged"
+        create_copy(keyed, table, provider, key)
+        return "created"
+
+    return _each(spark, tables, copy)
+
+
+def _each(spark: SparkSession, tables: Mapping[str, DataFrame], copy: Callable[[str], str]) -> DataFrame:
+    report: list[tuple[str, str, str | None]] = []
     for name in tables:
         try:
-            action = upsert_copy(spark, tables[name], f"{lake.rstrip('/')}/{name}", version, key)
-            report.append((name, action, None))
+            report.append((name, copy(name), None))
         except Exception as error:  # noqa: BLE001 - isolation between tables is the point
             report.append((name, "failed", f"{type(error).__name__}: {error}"))
+    if any(error for _, _, error in report):
+        raise CopiesFailed(report)
     return spark.createDataFrame(report, REPORT)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,11 @@ from daybook.plans.dimensions import DEPOSITS, LOANS, Run, Tables
 from daybook.plans.facts import Span
 from daybook.plans.targets import TARGETS
 from daybook.plans.warehouse import audit_constraints
-from daybook.sinks.versions import commit_version, current_version, version_path
+from daybook.sinks.versions import attempt_path, commit_version, current_path, new_attempt, refuse_committed
+from daybook.sources import SOURCE_SCHEMAS, TableSet
 
 FACT = "fact_balance_subaccount"
+UNPARSED = "unparsed_balances"
 INTERVALS = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("subaccount_id", "account_id", "company_id")]
     + [T.StructField(name, T.DateType()) for name in ("first_day", "value_day", "last_day")]
@@ -29,15 +33,29 @@ class BrokenConstraints(Exception):
 
 
 def load_warehouse(
-    spark: SparkSession, tables: Tables, run: Run, loans: Span, deposits: Span, root: str, version: str
+    spark: SparkSession,
+    tables: Tables,
+    run: Run,
+    loans: Span,
+    deposits: Span,
+    root: str,
+    version: str,
+    schemas: Mapping[str, str] | None = SOURCE_SCHEMAS,
 ) -> None:
-    """Stage all tables under a version, audit them as written, and publish them together.
+    """Stage all tables, audit them as written, and publish them together under a label not used before.
 
-    Rows that leave a required column empty are staged apart and not published. The fact's
+    Each call stages in a folder of its own, so one that fails leaves readers where they are and may be repeated.
+    Source tables that do not fit their declared ``schemas`` are refused; None takes them as they are.
+    Rows that leave a required column empty are staged apart and not published; so are transactions whose balance is
+    no amount, as the fact shows the balance before them. The fact's
     intervals are staged before they are spelled out, so neither the audit nor the expansion runs the
     transactions again, and a lost executor costs no more than the running step.
     """
-    staging = version_path(root, version)
+    refuse_committed(spark, root, version)
+    if schemas is not None:
+        tables = TableSet(tables.__getitem__, lambda: sorted(tables)).checked(schemas)
+    attempt = new_attempt(version)
+    staging = attempt_path(root, attempt)
     built = {
         "dim_client": dims.build_client(spark, run),
         "dim_calendar": dims.build_calendar(spark, run.run_ts.date()),
@@ -55,22 +73,22 @@ def load_warehouse(
     )
     typed = intervals.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in INTERVALS))
     _stage(typed, ("subaccount_id", "account_id", "company_id"), f"{staging}/intervals")
+    unparsed = facts.unparsed_balances(tables, LOANS).unionByName(facts.unparsed_balances(tables, DEPOSITS))
+    unparsed.write.parquet(f"{staging}/{UNPARSED}")
     _write_fact(spark, run, staging)
 
     staged = {name: read_staged(spark, staging, name) for name in TARGETS}
-    broken = audit_constraints(staged, (loans.end, deposits.end)).filter(F.col("broken") > 0)
+    broken = audit_constraints(staged).filter(F.col("broken") > 0)
     findings = [" ".join(map(str, row)) for row in broken.collect()]  # at most one row per declared constraint
     if findings:
         raise BrokenConstraints("; ".join(findings))
-    commit_version(spark, root, version)
+    commit_version(spark, root, version, attempt)
 
 
 def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The published tables."""
-    version = current_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no warehouse published under {root}")
-    return {name: read_staged(spark, version_path(root, version), name) for name in TARGETS}
+    published = current_path(spark, root)
+    return {name: read_staged(spark, published, name) for name in TARGETS}
 
 
 def read_staged(spark: SparkSession, staging: str, name: str) -> DataFrame:
@@ -92,11 +110,16 @@ def read_rejected_intervals(spark: SparkSession, staging: str) -> DataFrame:
     return _read_state(spark, INTERVALS, f"{staging}/intervals", "rejected")
 
 
+def read_unparsed_balances(spark: SparkSession, staging: str) -> DataFrame:
+    """Posted transactions left out of the series as their balance is no amount."""
+    return spark.read.schema("ledger string, holder string, date date, balance string").parquet(f"{staging}/{UNPARSED}")
+
+
 def _stage(df: DataFrame, required: tuple[str, ...], path: str) -> None:
     """One pass writes accepted and rejected rows, into a partition each."""
     marked = df.withColumn("missing", missing_columns(required))
     marked = marked.withColumn("state", F.when(F.col("missing") == "", "accepted").otherwise("rejected"))
-    marked.write.mode("overwrite").option("compression", "zstd").partitionBy("state").parquet(path)
+    marked.write.mode("errorifexists").option("compression", "zstd").partitionBy("state").parquet(path)
 
 
 def _read_state(spark: SparkSession, schema: T.StructType, path: str, state: str) -> DataFrame:
@@ -114,4 +137,4 @@ def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
     accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
     laid_out = in_range_order(split_months(accepted), "month", "subaccount_id", "first_day")
     fact = facts.fact_rows(laid_out, run).withColumn("month", F.trunc("date", "month"))
-    fact.write.mode("overwrite").option("compression", "zstd").partitionBy("month").parquet(f"{staging}/{FACT}")
+    fact.write.mode("errorifexists").option("compression", "zstd").partitionBy("month").parquet(f"{staging}/{FACT}")

@@ -1,5 +1,5 @@
 """Continuous replication of landed change files."""
 
-from daybook.streaming.replicate import replicate
+from daybook.streaming.replicate import replicate, selected
 
-__all__ = ["replicate"]
+__all__ = ["replicate", "selected"]

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from daybook import operators as ops
 from daybook import sinks
@@ -13,10 +14,11 @@ from daybook.catalogue import DEPOSIT_SPAN, LOAN_SPAN, RUN
 from daybook.plans import TARGETS, Run, Span, audit_constraints, build_warehouse
 from daybook.plans import dimensions as dims
 from daybook.plans import facts
+from daybook.plans.audit import reconcile_balance, reconcile_warehouse
 from daybook.sources import Include, TableSet, bank_tables
-from daybook.sinks.versions import version_path
-from daybook.sinks.warehouse import read_rejected_intervals, read_rejects
-from daybook.streaming import replicate
+from daybook.sinks.versions import attempt_path, current_path, latest_commit
+from daybook.sinks.warehouse import read_rejected_intervals, read_rejects, read_unparsed_balances
+from daybook.streaming import replicate, selected
 
 SPAN = Span(date(2024, 1, 1), date(2024, 1, 3))
 SMALL = Run(1, datetime(2024, 2, 1))
@@ -173,8 +175,14 @@ def test_constraint_audit_finds_the_planted_gaps(spark, bank):
         ("fact_balance_subaccount", "not_null", "company_id"): 6,
         ("fact_balance_subaccount", "primary_key", key + ",date"): 6,
     }
-    on_last_day = audit_constraints(built, [SPAN.end]).filter("target like 'fact_b%' and kind = 'primary_key'")
-    assert on_last_day.first().broken == 2
+
+
+def test_repeated_days_are_found_on_any_day(spark, bank):
+    fact = facts.build_balance(bank, SMALL, SPAN, SPAN).filter("company_id is not null")
+    middle = fact.filter("date = '2024-01-02'")
+    broken = audit_constraints({**build_warehouse(spark, bank, SMALL, SPAN, SPAN), "fact_balance_subaccount": fact.union(middle)})
+    found = broken.filter("target like 'fact_b%' and kind = 'primary_key'").first()
+    assert found.broken == middle.count() == 2
 
 
 # --- publishing ----------------------------------------------------------------------------------
@@ -182,14 +190,14 @@ def test_constraint_audit_finds_the_planted_gaps(spark, bank):
 
 def test_warehouse_is_published_after_its_audit(spark, bank, tmp_path):
     root = str(tmp_path / "warehouse")
-    sinks.load_warehouse(spark, bank, SMALL, SPAN, SPAN, root, "v1")
+    sinks.load_warehouse(spark, bank, SMALL, SPAN, SPAN, root, "v1", schemas=None)
     published = sinks.read_warehouse(spark, root)
     assert list(published) == list(TARGETS)
     fact = published["fact_balance_subaccount"]
     built = facts.build_balance(bank, SMALL, SPAN, SPAN).filter("company_id is not null")
     assert rows(fact) == rows(built)
     assert rows(published["bridge_member_account"]) == rows(dims.build_bridge(bank, SMALL))
-    staging = version_path(root, "v1")
+    staging = current_path(spark, root)
     assert rows(read_rejects(spark, staging, "dim_subaccount").select("subaccount_id", "missing")) == [
         ("LOAN2", "company_id"),
         ("LOAN3", "company_id"),
@@ -200,11 +208,58 @@ def test_warehouse_is_published_after_its_audit(spark, bank, tmp_path):
 def test_broken_constraints_publish_nothing(spark, bank, tmp_path):
     root = str(tmp_path / "warehouse")
     twice = tiny_bank(spark, loan=bank["loan"].union(bank["loan"]))
-    with pytest.raises(sinks.BrokenConstraints, match="fact_balance_subaccount primary_key.* 1"):
-        sinks.load_warehouse(spark, twice, SMALL, SPAN, SPAN, root, "v1")
+    with pytest.raises(sinks.BrokenConstraints, match="fact_balance_subaccount primary_key.* 3"):
+        sinks.load_warehouse(spark, twice, SMALL, SPAN, SPAN, root, "v1", schemas=None)
     assert sinks.current_version(spark, root) is None
 
 
+def test_balances_that_are_no_amounts_are_kept_apart(spark, bank, tmp_path):
+    root = str(tmp_path / "warehouse")
+    odd = bank["loan_txn"].withColumn("balance", F.when(F.col("loan_id") == 1, 1e17).otherwise(F.col("balance")))
+    sinks.load_warehouse(spark, tiny_bank(spark, loan_txn=odd), SMALL, SPAN, SPAN, root, "v1", schemas=None)
+    found = read_unparsed_balances(spark, current_path(spark, root))
+    assert rows(found) == [("loan_txn", "1", date(2024, 1, 2), "1.0E17")]
+
+
+def test_sources_with_other_schemas_are_not_loaded(spark, bank, tmp_path):
+    with pytest.raises(ValueError, match="source"):
+        sinks.load_warehouse(spark, bank, SMALL, SPAN, SPAN, str(tmp_path / "w"), "v1")
+
+
+def test_reconcile_reports_a_broken_builder(spark, bank, monkeypatch):
+    def differences():
+        fact = reconcile_balance(bank, SMALL, SPAN, SPAN)
+        dims_ = reconcile_warehouse(bank, build_warehouse(spark, bank, SMALL, SPAN, SPAN), SMALL).filter("dataset = 'subaccount'")
+        return {(r.metric, r.column_name): r.n for df in (fact, dims_) for r in df.collect() if r.n and r.metric != "compared"}
+
+    assert differences() == {}
+    monkeypatch.setattr(facts, "placed_accounts", lambda tables: tables["account"].selectExpr("id + 1 as account_id", "institution_id"))
+    monkeypatch.setattr(dims, "named_institutions", lambda tables: tables["institution"].selectExpr("id as institution_id", "company_id as parent_company_id", "'x' as company_name"))
+    found = differences()
+    assert found[("missing", None)] > 0 and found[("mismatch", "company_name")] > 0
+
+
+def test_days_are_in_order_though_a_holder_has_two_accounts(spark, bank):
+    two = bank["loan"].union(bank["loan"].withColumn("account_id", F.lit(2)))
+    fact = facts.build_ordered_balance(tiny_bank(spark, loan=two), SMALL, SPAN, SPAN)
+    keys = [(r.subaccount_id, r.date) for r in fact.collect()]
+    assert keys == sorted(keys) and len(keys) == 6 * 3 + 3
+
+
+def test_a_failed_or_repeated_load_leaves_readers_where_they_are(spark, bank, tmp_path):
+    root = str(tmp_path / "warehouse")
+    sinks.load_warehouse(spark, bank, SMALL, SPAN, SPAN, root, "v1", schemas=None)
+    before = rows(sinks.read_warehouse(spark, root)["fact_balance_subaccount"])
+    twice = tiny_bank(spark, loan=bank["loan"].union(bank["loan"]))
+    with pytest.raises(sinks.BrokenConstraints):
+        sinks.load_warehouse(spark, twice, SMALL, SPAN, SPAN, root, "v2", schemas=None)
+    with pytest.raises(sinks.VersionExists):
+        sinks.load_warehouse(spark, twice, SMALL, SPAN, SPAN, root, "v1", schemas=None)
+    assert rows(sinks.read_warehouse(spark, root)["fact_balance_subaccount"]) == before
+    sinks.load_warehouse(spark, bank, SMALL, SPAN, SPAN, root, "v2", schemas=None)
+    assert sinks.current_version(spark, root) == "v2"
+
+
 def test_published_fact_equals_the_query_on_the_data(spark, data, tmp_path):
     tables = bank_tables(spark, data)
     root = str(tmp_path / "warehouse")
@@ -221,31 +276,78 @@ def test_copies_are_created_then_merged_and_failures_stay_apart(spark, tmp_path)
     lake = str(tmp_path / "lake")
     good = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
     twice = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
-    report = sinks.copy_tables(spark, {"good": good, "twice": twice}, lake, "v1")
-    assert [(r.table_name, r.action) for r in report.collect()] == [("good", "created"), ("twice", "failed")]
-    assert "several source rows" in report.filter("action = 'failed'").first().error
-    change = spark.createDataFrame([(2, None), (3, "c")], "id int, v string")
-    report = sinks.copy_tables(spark, {"good": change}, lake, "v2")
+    with pytest.raises(sinks.CopiesFailed, match="several source rows") as failed:
+        sinks.copy_tables(spark, {"twice": twice, "good": good}, lake, "v1")
+    assert [r[:2] for r in failed.value.report] == [("twice", "failed"), ("good", "created")]
+    change = spark.createDataFrame([(2, None), (3, "c"), (3, "b")], "id int, v string")
+    report = sinks.copy_tables(spark, {"good": change}, lake, "v2", orders={"good": ["v"]})
     assert [(r.action, r.error) for r in report.collect()] == [("merged", None)]
-    assert rows(sinks.read_current(spark, f"{lake}/good")) == [(1, "a"), (2, None), (3, "c")]
-    again = sinks.copy_tables(spark, {"good": change}, lake, "v2")
-    assert again.first().action == "unchanged"
-    rejected = spark.read.parquet(version_path(f"{lake}/good/rejected", "v1"))
+    assert rows(sinks.read_copy(spark, f"{lake}/good")) == [(1, "a"), (2, None), (3, "c")]
+    rejected = spark.read.parquet(attempt_path(f"{lake}/good/rejected", "v1-*"))
     assert rows(rejected) == [(None, "n")]
 
 
+def test_a_used_label_is_refused_instead_of_losing_rows(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sinks.upsert_copy(spark, spark.createDataFrame([(1, "a")], "id int, v string"), root, "v1")
+    with pytest.raises(sinks.VersionExists):
+        sinks.upsert_copy(spark, spark.createDataFrame([(2, "b")], "id int, v string"), root, "v1")
+    assert rows(sinks.read_copy(spark, root)) == [(1, "a")]
+
+
+def test_updates_write_only_the_buckets_they_touch(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sinks.upsert_copy(spark, spark.range(200).selectExpr("id", "'old' as v"), root, "v1", buckets=16)
+    first = latest_commit(spark, root)
+    files = set(sinks.read_copy(spark, root).inputFiles())
+    sinks.upsert_copy(spark, spark.createDataFrame([(5, "new"), (1000, "new")], "id long, v string"), root, "v2")
+    second = latest_commit(spark, root)
+    moved = {b for b in second.parts if second.parts[b] != first.parts.get(b)}
+    assert 1 <= len(moved) <= 2 and len(first.parts) == 16
+    kept = [f for f in files if int(f.split("__bucket=")[1].split("/")[0]) not in moved]
+    assert kept and set(kept) <= set(sinks.read_copy(spark, root).inputFiles())
+    copy = sinks.read_copy(spark, root)
+    assert copy.count() == 201 and rows(copy.filter("v = 'new'")) == [(1000, "new"), (5, "new")]
+
+
+def test_new_columns_fail_or_are_added_and_never_lost(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sinks.upsert_copy(spark, spark.createDataFrame([(i, "a") for i in range(40)], "id int, v string"), root, "v1", buckets=8)
+    wider = spark.createDataFrame([(1, "b", 7)], "id int, v string, extra int")
+    with pytest.raises(ValueError, match="no column extra"):
+        sinks.upsert_copy(spark, wider, root, "v2")
+    sinks.upsert_copy(spark, wider, root, "v2", new_columns="add")
+    copy = sinks.read_copy(spark, root)
+    assert copy.columns == ["id", "v", "extra"] and copy.count() == 40
+    assert rows(copy.filter("extra is not null")) == [(1, "b", 7)]
+
+
 def test_uncommitted_versions_stay_unseen(spark, tmp_path):
     root = str(tmp_path / "t")
-    sinks.write_version(spark.range(3), root, "v1")
+    attempt = sinks.write_version(spark.range(3), root, "v1")
     assert sinks.current_version(spark, root) is None
     with pytest.raises(FileNotFoundError):
-        sinks.read_current(spark, root)
-    sinks.commit_version(spark, root, "v1")
-    sinks.write_version(spark.range(5), root, "v2")
-    assert sinks.read_current(spark, root).count() == 3
-    sinks.commit_version(spark, root, "v2")
-    sinks.commit_version(spark, root, "v2")
-    assert sinks.read_current(spark, root).count() == 5
+        sinks.current_path(spark, root)
+    sinks.commit_version(spark, root, "v1", attempt)
+    other = sinks.write_version(spark.range(5), root, "v2")
+    assert spark.read.parquet(sinks.current_path(spark, root)).count() == 3
+    sinks.commit_version(spark, root, "v2", other)
+    assert spark.read.parquet(sinks.current_path(spark, root)).count() == 5
+    for label in ("v1", "v2"):
+        with pytest.raises(sinks.VersionExists):
+            sinks.write_version(spark.range(7), root, label)
+
+
+def test_catalog_tables_are_created_or_merged(spark, monkeypatch):
+    from daybook.sinks import lake
+
+    merged = []
+    monkeypatch.setattr(lake, "merge_copy", lambda source, table, key: merged.append((table, rows(source))))
+    spark.sql("CREATE DATABASE IF NOT EXISTS dispatch")
+    frame = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id int, v string")
+    calls = [sinks.copy_to_catalog(spark, {"t": frame}, "dispatch", "parquet", orders={"t": ["v"]}).first().action for _ in range(2)]
+    assert calls == ["created", "merged"] and rows(spark.table("dispatch.t")) == [(1, "b")]
+    assert merged == [("dispatch.t", [(1, "b")])]
 
 
 def test_catalog_copy_is_zstd_parquet(spark):
@@ -261,13 +363,20 @@ def test_jdbc_append_follows_references(spark, bank, monkeypatch):
     calls = []
     monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, **kwargs: calls.append(kwargs))
     built = build_warehouse(spark, bank, SMALL, SPAN, SPAN)
-    shuffled = {name: built[name] for name in sorted(built, reverse=True) if name != "fact_transactions"}
+    shuffled = {name: built[name] for name in sorted(built, reverse=True)}
     order = sinks.append_in_order(shuffled, "jdbc:none", {"user": "u"})
     assert [c["table"] for c in calls] == [f"public.{name}" for name in order]
     assert {c["mode"] for c in calls} == {"append"} and calls[0]["properties"]["numPartitions"] == "16"
     for name in order:
         for ref in TARGETS[name].references:
             assert order.index(ref.parent) < order.index(name)
+    calls.clear()
+    sinks.append_in_order(shuffled, "jdbc:none", {"user": "u"}, refresh=True)
+    emptied, filled = calls[: len(order)], calls[len(order) :]
+    assert [c["table"] for c in emptied] == [c["table"] for c in reversed(filled)]
+    assert {(c["mode"], c["properties"].get("truncate")) for c in emptied} == {("overwrite", "true")}
+    with pytest.raises(ValueError, match="without parents"):
+        sinks.append_in_order({"dim_company": built["dim_company"]}, "jdbc:none", {}, refresh=True)
     with pytest.raises(ValueError, match="nowhere"):
         sinks.append_in_order({"nowhere": built["dim_client"]}, "jdbc:none", {})
 
@@ -311,12 +420,22 @@ def test_replication_resumes_where_it_stopped(spark, tmp_path):
             query.awaitTermination()
         return query
 
-    land((1, 1, "a", None), (1, 2, "b", None), (2, 1, "x", "PENDING"))
+    def copy():
+        return rows(selected(spark, "txn", lake, rules))
+
+    land((1, 1, "a", None), (1, 2, "b", None), (2, 1, "x", "PENDING"), (4, 1, "p", None))
     run()
-    assert rows(sinks.read_current(spark, f"{lake}/txn")) == [(1, 2, "b", None)]
+    assert copy() == [(1, 2, "b", None), (4, 1, "p", None)]
+    label = sinks.current_version(spark, f"{lake}/txn")
     run()
-    assert sinks.current_version(spark, f"{lake}/txn") == "batch-0"
-    land((1, 3, "c", None), (3, 1, "n", None))
+    assert sinks.current_version(spark, f"{lake}/txn") == label and label.endswith("-0")
+    # A row that no longer passes the filters leaves what the filters show.
+    land((1, 3, "c", None), (3, 1, "n", None), (4, 2, "p", "PENDING"))
     run()
-    assert rows(sinks.read_current(spark, f"{lake}/txn")) == [(1, 3, "c", None), (3, 1, "n", None)]
+    assert copy() == [(1, 3, "c", None), (3, 1, "n", None)]
     assert run("other") is None
+    # A new checkpoint takes everything again under labels of its own, and loses nothing.
+    land((5, 1, "new", None))
+    checkpoint = str(tmp_path / "another")
+    run()
+    assert copy() == [(1, 3, "c", None), (3, 1, "n", None), (5, 1, "new", None)]
