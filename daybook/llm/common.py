@@ -2,40 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.scratch import kept as kept
+
 #: A word is a longest run without the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are split into words in pieces of about this many bytes, so that a batch's arrays stay small.
 SLICE_BYTES = 4 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; its own one where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="daybook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again: what follows neither recomputes nor depends on it."""
-    path = f"{shared_folder(df.sparkSession)}/daybook-llm/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def word_count(text: Column) -> Column:
     """Number of words; none for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -73,13 +55,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """The texts in order, in runs of about ``size`` bytes; a longer text is a run of its own."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    ends = np.cumsum(np.asarray(pc.binary_length(texts), dtype=np.int64))
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
     first, n = 0, len(texts)
     while first < n:
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield texts.slice(first, last - first)
+        yield pc.fill_null(texts.slice(first, last - first).cast(pa.large_string()), "")
         first = last
 
 
