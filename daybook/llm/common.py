@@ -60,7 +60,7 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
     while first < n:
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield pc.fill_null(texts.slice(first, last - first).cast(pa.large_string()), "")
+        yield pc.fill_null(texts.slice(first, last - first), "")
         first = last
 
 
