@@ -317,17 +317,20 @@ def check_unique(tables: Tables) -> DataFrame:
 
 @over_bank
 def apply_defaults(tables: Tables) -> DataFrame:
-    """Posted deposit transactions fitted to the transactions fact: the currency column is absent."""
-    txns = facts.ledger_txns(tables, DEPOSITS).select(
-        F.col("seq").alias("transaction_id"),
-        F.lit(RUN.client_id).alias("client_id"),
-        prefixed_key(DEPOSITS.prefix, "subaccount_id").alias("subaccount_id"),
-        F.col("created_at").alias("timestamp"),
-        F.col("date").alias("id_date"),
-        "status",
-        "balance",
+    """Posted transactions of both ledgers fitted to the transactions fact: the currency column is absent."""
+    loans, deposits = (
+        facts.ledger_txns(tables, ledger).select(
+            F.col("seq").alias("transaction_id"),
+            F.lit(RUN.client_id).alias("client_id"),
+            prefixed_key(ledger.prefix, ledger.txn_holder).alias("subaccount_id"),
+            F.col("created_at").alias("timestamp"),
+            F.col("date").alias("id_date"),
+            "status",
+            "balance",
+        )
+        for ledger in (LOANS, DEPOSITS)
     )
-    return conform(txns, TARGETS["fact_transactions"], RUN.run_ts)
+    return conform(loans.unionByName(deposits), TARGETS["fact_transactions"], RUN.run_ts)
 
 
 @over_bank

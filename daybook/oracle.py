@@ -498,12 +498,15 @@ def oracles() -> dict[str, str]:
             "SELECT date, count(*) AS rows FROM loan_txn WHERE date IS NOT NULL GROUP BY date HAVING count(*) > 1"
         ),
         "apply_defaults": _with(
-            f"SELECT CAST(seq AS VARCHAR) AS transaction_id, {CLIENT} AS client_id, {NO_TEXT} AS company_id, "
-            f"'SUB' || CAST(subaccount_id AS VARCHAR) AS subaccount_id, {NO_TEXT} AS account_id, "
-            f"{_empty('DECIMAL(18,2)', 'amount', 'original_amount')}, 'USD' AS currency, created_at AS timestamp, "
-            f"date AS id_date, {NO_TEXT} AS income_expenditure, status, {NO_TEXT} AS type, "
-            f"CAST(balance AS DECIMAL(18,2)) AS balance, {NO_TEXT} AS enrichment, {AUDIT} FROM subaccount_txn"
-            + POSTED_ONLY
+            "\nUNION ALL\n".join(
+                f"SELECT CAST(seq AS VARCHAR) AS transaction_id, {CLIENT} AS client_id, {NO_TEXT} AS company_id, "
+                f"'{ledger.prefix}' || CAST({ledger.txn_holder} AS VARCHAR) AS subaccount_id, {NO_TEXT} AS account_id, "
+                f"{_empty('DECIMAL(18,2)', 'amount', 'original_amount')}, 'USD' AS currency, created_at AS timestamp, "
+                f"date AS id_date, {NO_TEXT} AS income_expenditure, status, {NO_TEXT} AS type, "
+                f"CAST(balance AS DECIMAL(18,2)) AS balance, {NO_TEXT} AS enrichment, {AUDIT} FROM {ledger.txns}"
+                + POSTED_ONLY
+                for ledger in (cat.LOANS, cat.DEPOSITS)
+            )
         ),
         "rejects": _with(
             f"SELECT subaccount_id, account_id, company_id, {missing} AS missing FROM ({SUBACCOUNT}) "
