@@ -62,6 +62,8 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
         last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield pc.fill_null(texts.slice(first, last - first), "")
         first = last
+    # A worker lives on after its task: what the pool kept of this batch goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[list[str], np.ndarray, np.ndarray]:
