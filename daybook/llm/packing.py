@@ -8,11 +8,13 @@ shares alone. So every task works out the windows of its own documents, wherever
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +24,22 @@ WINDOW = 4096
 END_ID = 2
 #: A source with a smaller share than this many tokens a window shares one queue with the others of its kind.
 LEAST_QUOTA = 64
-#: Distinct chunks whose ids a worker remembers.
-REMEMBERED = 1 << 19
+#: Distinct pieces of text whose ids a worker remembers.
+REMEMBERED = 3 << 17
 
-_remembered: dict[str, dict[str, bytes]] = {}
+#: How the word tokenizer cuts text into pieces, fixed values of its file. Where a file says the same, plain text is cut here, so
+#: that a piece is encoded once however often it occurs; all else goes through the tokenizer as it is.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STEPS = ["NFC", "Replace", "Lowercase"]
+END_OF_WORD = "</w>"
+#: Printable ASCII but the apostrophe, and the letters of Latin-1: neither NFC nor a contraction changes those.
+_PLAIN = "!-&(-~À-ÖØ-öø-ÿ"
+_PLAIN_TEXT = re.compile(f"[\t-\r {_PLAIN}]*")
+_PLAIN_CHUNK = re.compile(f"[{_PLAIN}]*")
+_CHUNKS = re.compile("[^\t-\r ]+")
+_PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\t-\r ]+")
+
+_encoders: dict[str, Encoder] = {}
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -34,45 +48,81 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def chunk_ids(chunks: list[str], path: str) -> list[bytes]:
-    """The ids of chunks without white space, as little-endian 32-bit integers."""
-    from tokenizers import Tokenizer
-
-    memory = _remembered.setdefault(path, {})
-    new = [c for c in chunks if c not in memory]
-    if new:
-        if len(memory) + len(new) > REMEMBERED:
-            memory.clear()
-            new = chunks
-        tokenizer = Tokenizer.from_file(path) if path not in _tokenizers else _tokenizers[path]
-        _tokenizers[path] = tokenizer
-        for first in range(0, len(new), 4096):
-            some = new[first : first + 4096]
-            for chunk, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memory[chunk] = np.array(found.ids, dtype="<u4").tobytes()
-    return [memory[c] for c in chunks]
-
-
-_tokenizers: dict[str, object] = {}
-
-
-def text_ids(texts: pa.Array, path: str) -> list[bytes]:
-    """Each text's ids and the end id. Tokens never span white space, so texts are encoded by distinct chunks."""
-    lists = pc.ascii_split_whitespace(texts)
-    coded = lists.flatten().dictionary_encode()
-    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-    codes = np.asarray(coded.indices)
-    by_chunk = np.array(chunk_ids(coded.dictionary.to_pylist(), path), dtype=object)
-    ends = np.cumsum(np.diff(np.asarray(lists.offsets)))
-    end = np.array([END_ID], dtype="<u4").tobytes()
-    in_order = by_chunk[codes] if len(codes) else []
-    return [b"".join(in_order[b:e]) + end for b, e in zip([0, *ends[:-1]], ends, strict=True)]
+class Encoder:
+    """A tokenizer file's ids for texts, as little-endian integers of ``kind``: 16 bits where the vocabulary allows it."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
+        form = json.loads(self.whole.to_str())
+        steps = [s["type"] for s in (form["normalizer"] or {}).get("normalizers", [])]
+        cuts = (form["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        model = form["model"]
+        self.cuts = steps == STEPS and cuts[0].get("pattern") == {"Regex": SPLIT} and model.get("end_of_word_suffix") == END_OF_WORD
+        self.pieces: dict[str, bytes] = {}
+        if self.cuts:
+            merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+            bare = models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=END_OF_WORD, cache_capacity=0)
+            self.bare = Tokenizer(bare)
+            bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
+            self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
+            for token, i in model["vocab"].items():
+                self.ends[i] = token.endswith(END_OF_WORD)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.cuts:
+            whole = self.whole.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(found.ids, dtype=self.kind).tobytes() for found in whole]
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        known = self.pieces
+        cut = [_PIECES.findall(t.lower()) if self.plain(_PLAIN_TEXT, t) else self.mixed(t) for t in texts]
+        self.learn(set().union(*cut).difference(known))
+        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+
+    @staticmethod
+    def plain(pattern: re.Pattern, text: str) -> bool:
+        return pattern.fullmatch(text) is not None and "<|" not in text
+
+    def mixed(self, text: str) -> list[str]:
+        """The pieces of a text's plain chunks; each other chunk stands whole, marked, and is encoded as it is."""
+        out = []
+        for chunk in _CHUNKS.findall(text):
+            if self.plain(_PLAIN_CHUNK, chunk):
+                out += _PIECES.findall(chunk.lower())
+            else:
+                out.append(marked := f" {chunk}")
+                if marked not in self.pieces:
+                    ids = self.whole.encode(chunk, add_special_tokens=False).ids
+                    self.pieces[marked] = np.array(ids, dtype=self.kind).tobytes()
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        """Encode many pieces as one text; each ends with the one token that ends a word."""
+        pieces = list(new)
+        runs = [pieces[i : i + 1024] for i in range(0, len(pieces), 1024)]
+        for run, found in zip(runs, self.bare.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype=self.kind)
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
+            for piece, first, last in zip(run, [0, *ends], ends, strict=False):
+                self.pieces[piece] = data[first:last]
+
+
+def text_ids(texts: list[str], path: str) -> tuple[list[bytes], int]:
+    """(each text's ids and the end id, bytes of an id)."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    end = np.array([END_ID], dtype=_encoders[path].kind).tobytes()
+    return [ids + end for ids in _encoders[path](texts)], len(end)
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, source, part, before, ids, n) of each row, written to the shared folder.
 
-    ``part`` numbers the task that read it, ``before`` counts the tokens of the same source that the task read before.
+    ``ids`` are ``n`` integers of the least width that the vocabulary allows. ``part`` numbers the task that read it, ``before`` counts the tokens of the same source that the task read before.
     """
     rows = docs.select("doc_id", "source", F.col("text"))
 
@@ -85,8 +135,8 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
             for texts in slices(batch["text"]):
                 own = batch.slice(first, len(texts))
                 first += len(texts)
-                ids = text_ids(texts, path)
-                n = [len(i) // 4 for i in ids]
+                ids, width = text_ids(texts.to_pylist(), path)
+                n = [len(i) // width for i in ids]
                 before = []
                 for source, size in zip(own["source"].to_pylist(), n, strict=True):
                     before.append(read.get(source, 0))
@@ -106,10 +156,14 @@ class Rounds:
         self.tokens, self.window, self.total = tokens, window, sum(tokens)
         # A queue of under a token a window gets whole tokens as they fall due, never one in advance.
         self.advance = [i for i, t in enumerate(tokens) if t * window >= self.total]
-        self._had: dict[int, list[int]] = {}
+        self._had: dict[int, tuple[list[int], list[int]]] = {}
 
     def had(self, k: int) -> list[int]:
-        """Tokens that each queue has had before window ``k``. Deficits are what is due beyond the whole tokens."""
+        """Tokens that each queue has had before window ``k``."""
+        return self.state(k)[0]
+
+    def state(self, k: int) -> tuple[list[int], list[int]]:
+        """(what each queue has had, the sums over the queues before it). Deficits are what is due beyond whole tokens."""
         if k not in self._had:
             if len(self._had) > 1 << 14:
                 self._had.clear()
@@ -119,7 +173,7 @@ class Rounds:
             left = due - sum(had)
             for i in sorted(self.advance, key=lambda i: (-whole[i][1], i))[:left]:
                 had[i] += 1
-            self._had[k] = had
+            self._had[k] = had, list(accumulate(had, initial=0))
         return self._had[k]
 
     def at(self, queue: int, position: int) -> int:
@@ -135,11 +189,10 @@ class Rounds:
         """(first, length, window, offset) of the pieces of a document that stands at ``start`` of its queue."""
         k, first = self.at(queue, start), 0
         while first < length:
-            now, then = self.had(k), self.had(k + 1)
+            (now, now_before), (then, then_before) = self.state(k), self.state(k + 1)
             size = min(length - first, then[queue] - (start + first))
-            ahead = sum(then[:queue]) - sum(now[:queue])
             if size > 0:
-                yield first, size, k, ahead + start + first - now[queue]
+                yield first, size, k, then_before[queue] - now_before[queue] + start + first - now[queue]
             first += max(size, 0)
             k += 1
 
@@ -149,7 +202,7 @@ def queues(tokens: DataFrame, window: int, least: int) -> tuple[DataFrame, list[
     sizes = kept(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "parts")
     by_source = sizes.groupBy("source").agg(F.sum("n").alias("size"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    large = by_source.filter(F.col("size") * window >= F.lit(total) * least).orderBy(F.col("source").asc_nulls_last()).collect()
+    large = by_source.filter(F.col("size") * window >= F.lit(total).cast("long") * least).orderBy(F.col("source").asc_nulls_last()).collect()
     named = [r.source for r in large]
     number = F.lit(len(named))
     for i, source in enumerate(named):
@@ -171,15 +224,16 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, least:
     bases, sizes = queues(tokens, window, least)
     bases = kept(bases, "bases")
     same = tokens["source"].eqNullSafe(bases["source"]) & (tokens["part"] == bases["part"])
-    placed = tokens.join(bases, same).select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "ids")
+    placed = tokens.join(bases, same).select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "ids", "n")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds = Rounds(sizes, window)
         for batch in batches:
             rows = []
-            columns = (batch[c].to_pylist() for c in ("queue", "at", "ids"))
-            for i, (queue, at, ids) in enumerate(zip(*columns, strict=True)):
-                n = len(ids) // 4
+            columns = (batch[c].to_pylist() for c in ("queue", "at", "ids", "n"))
+            for i, (queue, at, ids, n) in enumerate(zip(*columns, strict=True)):
+                if len(ids) < 4 * n:
+                    ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 for first, size, k, offset in rounds.pieces(queue, at, n):
                     rows.append((i, first, ids[4 * first : 4 * (first + size)], n, k, offset))
             if rows:
