@@ -25,9 +25,10 @@ from daybook.llm.graytree import GrayTree, forest, gray_rank
 SHINGLE = 3
 MOST_BITS = 2
 SEED = 42
-#: Fingerprints that a page should hold, and pages at most: the bound of the upper tree that is broadcast.
-PAGE_ROWS = 4096
-MOST_PAGES = 4096
+#: Fingerprints that a page should hold, and pages at least and at most. The first bound keeps the pages that a fingerprint asks
+#: as many over all usual sizes, the second is that of the upper tree that is broadcast.
+PAGE_ROWS = 1 << 18
+LEAST_PAGES, MOST_PAGES = 64, 4096
 #: Fingerprints that one task searches a page for, about.
 PROBE_ROWS = 1 << 18
 #: Links that a search holds before it joins what they connect. A fingerprint has 2,080 neighbours at most.
@@ -55,7 +56,7 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     """The fingerprints of a column of texts, as longs; null texts have no words, so zero."""
 
     def of(texts: pa.Array) -> pa.Array:
-        found = (fingerprint(t.as_buffer().to_pybytes(), shingle) for part in slices(texts) for t in part.cast(pa.large_binary()))
+        found = (fingerprint(t.as_buffer().to_pybytes(), shingle) for part in slices(texts) for t in part.cast(pa.binary()))
         return pa.array(found, pa.int64())
 
     return F.arrow_udf(of, LongType())(text)
@@ -78,7 +79,7 @@ def joined(root: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> np.n
 def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """(a, b): links that connect just those of the distinct ``fp`` that steps of ``most`` bits or fewer connect."""
     spark = fps.sparkSession
-    wanted = min(MOST_PAGES, max(1, -(-fps.count() // PAGE_ROWS)))
+    wanted = min(MOST_PAGES, max(LEAST_PAGES, -(-fps.count() // PAGE_ROWS)))
     ranked = fps.select("fp", gray(F.col("fp")).alias("rank"))
     paged = ranked.repartitionByRange(wanted, "rank").withColumn("page", F.spark_partition_id())
     pages = kept(paged.select("page", "fp"), "pages")
