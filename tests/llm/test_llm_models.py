@@ -60,6 +60,15 @@ def test_misspellings_share_vectors():
     assert shared("worthless", "worthles") > 0.5 > shared("worthless", "kindness") and shared("idiot", "idiot!!") == 1
 
 
+def test_runs_of_several_words_are_those_of_each():
+    several = ["The", "end!!", "a_b", "__", "it's", "日本語。", "x" * 3, "--a--"]
+    hashes, sizes = quality.runs_of(several)
+    want = [["The"], ["end", "!!"], ["a", "_", "b"], ["__"], ["it", "'", "s"], ["日本語", "。"], ["xxx"], ["--", "a", "--"]]
+    assert sizes.tolist() == list(map(len, want))
+    assert hashes.tolist() == [zlib.crc32(run.encode()) for runs in want for run in runs]
+    assert [len(x) for x in quality.runs_of([])] == [0, 0]
+
+
 def test_subwords_of_several_words_are_those_of_each():
     several = ["idiot", "", "é", "日本語!", "ab"]
     places, sizes = toxicity.subwords(several)
@@ -105,6 +114,20 @@ def test_words_follow_the_definition():
         assert [distinct[c] for c in codes] == words(lowered(text)) and sizes.tolist() == [len(words(text))]
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+def test_slices_hold_all_texts_and_their_words(kind, size):
+    texts = [None if r[1] is None else r[1][:300] for r in AWKWARD] + ["é ü", "", None, "日本 語", "Àé x"] * 7
+    whole = pa.array(["other é", *texts, "rest"], kind).slice(1, len(texts))
+    found, seen = [], []
+    for part in common.slices(whole, size):
+        seen += part.to_pylist()
+        distinct, codes, sizes = common.words_of(part)
+        found += [[distinct[c] for c in own] for own in np.split(codes, np.cumsum(sizes)[:-1])]
+    assert seen == [t or "" for t in texts]
+    assert found == [words(lowered(t)) for t in texts]
+
+
 # Language model
 
 TEXTS = [

@@ -88,11 +88,11 @@ def test_simhash_groups_of_given_documents(spark, data):
     assert sorted(found_groups(docs)) == sorted(groups(rows))
 
 
-@pytest.mark.parametrize("page_rows", [4096, 25])
-def test_links_connect_what_two_bits_connect(spark, monkeypatch, page_rows):
-    monkeypatch.setattr(simhash, "PAGE_ROWS", page_rows)
+@pytest.mark.parametrize("pages", [1, 13, 64])
+def test_links_connect_what_two_bits_connect(spark, monkeypatch, pages):
+    monkeypatch.setattr(simhash, "LEAST_PAGES", pages)
     monkeypatch.setattr(simhash, "PROBE_ROWS", 40)
-    draw = random.Random(page_rows)
+    draw = random.Random(pages)
     prints = {0, (1 << 64) - 1, 1 << 63} | {draw.getrandbits(64) for _ in range(150)}
     for base in draw.sample(sorted(prints), 60):
         for _ in range(draw.randint(1, 4)):
@@ -236,8 +236,14 @@ def test_taken_words_come_near_the_targets(spark):
     for r in got:
         by_target[(r.target, r.source_size)].append(r)
     for (target, _), rows in by_target.items():
-        largest = max(r["size"] for r in rows)
-        assert abs(sum(r.taken for r in rows) - target) <= largest + 0.05 * target
+        assert abs(sum(r.taken for r in rows) - target) <= len(by_target)
+        assert all(r.taken <= 3 * r["size"] for r in rows)
+    whole = defaultdict(list)
+    for r in mixing.taken(docs, cut=False).collect():
+        assert r.taken % max(1, r["size"]) == 0
+        whole[(r.target, r.source_size)].append(r)
+    for (target, _), rows in whole.items():
+        assert abs(sum(r.taken for r in rows) - target) <= max(r["size"] for r in rows) + 0.05 * target
 
 
 def test_mixed_documents_are_whole_and_in_the_counted_numbers(spark):
@@ -245,7 +251,7 @@ def test_mixed_documents_are_whole_and_in_the_counted_numbers(spark):
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
     counted = Counter()
-    for r in mixing.taken(df).collect():
+    for r in mixing.taken(df, cut=False).collect():
         counted[r.doc_id] += r.taken
     got = Counter()
     for r in out.collect():
@@ -317,6 +323,24 @@ def test_packing_of_given_documents(spark, data):
             assert abs(own[s] - due * n / everything) <= 2
 
 
+def test_texts_have_the_ids_of_the_tokenizer(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    chunks = sorted({c for t in [*texts, *(r[1] or "" for r in AWKWARD)] for c in words(t)})
+    chunks += ["it's", "I'LL", "a1b22,,x", "<|endoftext|>x", "<|startoftext|>", "ª", "µº", "İI", "ÀÉß", "e\u0301", "x\u00a0y", "ΑΣ", "~~~", "'", "1'2"]
+    tokenizer = Tokenizer.from_file(packing.public_tokenizer())
+    texts += [*chunks, " ".join(chunks), "\n".join(chunks[-20:])]
+    got, width = packing.text_ids(texts, packing.public_tokenizer())
+    assert width == 2
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = packing.public_tokenizer("byte_bpe_50k.json")
+    want = [*Tokenizer.from_file(path).encode("Two  words\n", add_special_tokens=False).ids, 2]
+    assert packing.text_ids(["Two  words\n"], path) == ([np.array(want, dtype="<u2").tobytes()], 2)
+
+
 def test_rounds_give_each_queue_its_share():
     draw = random.Random(3)
     for _ in range(50):
