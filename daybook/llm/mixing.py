@@ -87,19 +87,33 @@ def queue(docs: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFra
     return queued, sources
 
 
-def copies(queued: DataFrame, most: int) -> DataFrame:
-    """A row for each time that a document stands in its source's queue, with its virtual ``finish`` time."""
-    end = F.col("copy") * F.col("source_size") + F.col("start") + F.col("size")
+def copies(queued: DataFrame, most: int, cut: bool) -> DataFrame:
+    """A row for each time that a document stands in its source's queue: its ``words`` and its virtual ``finish`` time.
+
+    With ``cut``, the copy on which a source meets its target has the words up to it only, and finishes at 1.
+    """
     again = queued.filter((F.col("size") > 0) & (F.col("target") > 0))
     again = again.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
-    return again.withColumn("finish", end.cast("double") / F.col("target"))
+    first = F.col("copy") * F.col("source_size") + F.col("start")
+    last, goal = first + F.col("size"), F.floor("target").cast("long")
+    whole = again.withColumn("words", F.col("size")).withColumn("finish", last.cast("double") / F.col("target"))
+    if not cut:
+        return whole
+    meets = (first < F.col("target")) & (last > F.col("target"))
+    part = whole.withColumns(
+        {"words": F.when(meets, goal - first).otherwise(F.col("words")), "finish": F.when(meets, 1.0).otherwise(F.col("finish"))}
+    )
+    return part.filter("words > 0")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS, cut: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(queued, mixed, sources): every document's place in its queue; the mix; the sources with their targets.
 
-    ``mixed`` has a row for each time that the mix takes a document, with its ``finish`` time and ``offset``, the
-    words of the mix before it. Documents are taken whole. ``queued`` and ``mixed`` share the key (source_rank,
+    ``mixed`` has a row for each time that the mix takes a document, with the ``words`` taken, its ``finish`` time and
+    ``offset``, the words of the mix before it. Documents are taken whole, and a source ends within a document or so
+    of its target; with ``cut`` the copy that crosses the target is cut there, and it ends on it. ``queued`` and ``mixed`` share the key (source_rank,
     range, place). Of rows that are alike in every column, any may be the one taken more often. Documents without
     words, and null texts, have size 0 and are never taken; null sources are a source of their own.
     """
@@ -108,22 +122,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS
     sized = sources.agg(
         F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
     ).first()
-    in_line = copies(queued, most).withColumnRenamed("range", "queue_range")
-    # A queue runs evenly through its ranges of finish times; behind 2 stands what the budget hardly reaches.
+    in_line = copies(queued, most, cut).withColumnRenamed("range", "queue_range")
+    # A queue runs evenly through the ranges of finish times, so a range holds RANGE_ROWS or fewer on average.
     parts = max(1, -(-sized.rows * most // RANGE_ROWS))
-    in_line = in_line.withColumn("range", F.floor(F.least(F.col("finish"), F.lit(4.0)) * parts))
+    in_line = in_line.withColumn("range", F.floor(F.col("finish") * parts))
     order = [F.col("finish"), F.col("source_rank"), F.col("copy"), F.col("h"), F.col("h2"), F.col("place")]
-    placed = running(in_line, [], order, "size", "offset")
-    mixed = placed.filter(F.col("offset") + F.col("size") <= sized.budget)
+    placed = running(in_line, [], order, "words", "offset")
+    mixed = placed.filter(F.col("offset") + F.col("words") <= sized.budget)
     mixed = mixed.drop("range").withColumnRenamed("queue_range", "range")
     return queued, mixed, sources
 
 
-def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS) -> DataFrame:
+def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS, cut: bool = True) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of each document."""
-    queued, mixed, _ = mix(docs, weights, most)
+    queued, mixed, _ = mix(docs, weights, most, cut)
     key = ["source_rank", "range", "place"]
-    words = mixed.groupBy(*key).agg(F.sum("size").alias("taken"))
+    words = mixed.groupBy(*key).agg(F.sum("words").alias("taken"))
     out = queued.join(words, key, "left")
     return out.select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")

@@ -46,12 +46,15 @@ WITH RECURSIVE sized AS (
     coalesce(sum(size) OVER (PARTITION BY source_rank ORDER BY h, h2, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), copies AS (
-  SELECT *, CAST(copy * source_size + start + size AS DOUBLE) / target AS finish
+  SELECT *, copy * source_size + start AS first, first < target AND first + size > target AS meets,
+    CASE WHEN meets THEN CAST(floor(target) AS BIGINT) - first ELSE size END AS words,
+    CASE WHEN meets THEN 1 ELSE CAST(first + size AS DOUBLE) / target END AS finish
   FROM queued, (SELECT unnest([0, 1, 2]) AS copy) WHERE size > 0 AND target > 0
 ), mixed AS (
-  SELECT source_rank, place, size, sum(size) OVER (ORDER BY finish, source_rank, copy, h, h2, place) AS spent FROM copies
+  SELECT source_rank, place, words, sum(words) OVER (ORDER BY finish, source_rank, copy, h, h2, place) AS spent
+  FROM copies WHERE words > 0
 ), words AS (
-  SELECT source_rank, place, sum(size) AS taken FROM mixed WHERE spent <= (SELECT sum(size) FROM sized) GROUP BY ALL
+  SELECT source_rank, place, sum(words) AS taken FROM mixed WHERE spent <= (SELECT sum(size) FROM sized) GROUP BY ALL
 )
 SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM queued LEFT JOIN words USING (source_rank, place)
