@@ -39,25 +39,30 @@ def lines(docs: DataFrame, words: int) -> DataFrame:
     return long_.select("doc_id", "t", "site", F.col("pos").alias("place"), *line_key(F.col("col")))
 
 
+def first_place() -> Column:
+    """What orders the places of a line: by id, rows without one last, then by text and place."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("t"), F.col("place"))
+
+
 def boilerplate(found: DataFrame, sites: int, log_registers: int = LOG_REGISTERS, near: float = NEAR) -> DataFrame:
-    """(k1, k2) of the lines on ``sites`` distinct sites or more; a null site is no site."""
-    sketches = found.filter("site IS NOT NULL").groupBy("k1", "k2").agg(F.hll_sketch_agg("site", log_registers).alias("sketch"))
-    spread = sketches.select("k1", "k2", F.hll_sketch_estimate("sketch").alias("about"))
+    """(k1, k2, first) of the lines on ``sites`` distinct sites or more, with their first place; a null site is no site."""
+    # Sketches leave nulls out. A line's rows are combined before the shuffle, however many they are.
+    sketches = found.groupBy("k1", "k2").agg(
+        F.hll_sketch_agg("site", log_registers).alias("sketch"), F.min(first_place()).alias("first")
+    )
+    spread = sketches.select("k1", "k2", "first", F.hll_sketch_estimate("sketch").alias("about"))
     spread = kept(spread.filter(F.col("about") >= sites * (1 - near)), "spread")
     sure, close = spread.filter(F.col("about") > sites * (1 + near)), spread.filter(F.col("about") <= sites * (1 + near))
     pairs = found.select("k1", "k2", "site").join(close, ["k1", "k2"], "left_semi").distinct()
-    exact = pairs.groupBy("k1", "k2").agg(F.count("site").alias("n")).filter(F.col("n") >= sites)
-    return sure.select("k1", "k2").union(exact.select("k1", "k2"))
+    exact = pairs.groupBy("k1", "k2").agg(F.count("site").alias("n")).filter(F.col("n") >= sites).drop("n")
+    return sure.drop("about").union(close.drop("about").join(exact, ["k1", "k2"], "left_semi"))
 
 
 def removals(docs: DataFrame, sites: int, words: int) -> DataFrame:
     """(doc_id, t, places): the lines to take out of each text that has any."""
     found = kept(lines(docs, words), "lines")
-    where = kept(found.join(boilerplate(found, sites), ["k1", "k2"]), "boilerplate")
-    # The first of all: by id, those without one last, then by text and place.
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("t"), F.col("place"))
-    first = where.groupBy("k1", "k2").agg(F.min(order).alias("first"))
-    spare = where.join(first, ["k1", "k2"]).filter(order != F.col("first"))
+    wide = kept(boilerplate(found, sites), "boilerplate")
+    spare = found.join(wide, ["k1", "k2"]).filter(first_place() != F.col("first"))
     return spare.groupBy("doc_id", "t").agg(F.collect_set("place").alias("places"))
 
 
