@@ -23,7 +23,7 @@ from daybook.llm.neighbours import MOST_CELLS, PART_ROWS, SLICE_ROWS, matrix
 
 K = 5
 SCALE = 256
-PAGE = 128
+PAGE = 256
 FAN = 16
 SEED = 3
 #: What rounding may take from a bound, as a share of the norms in it.
@@ -32,13 +32,15 @@ SLACK = 1e-9
 
 @dataclass
 class Node:
-    """``rows`` of a page, or ``children`` with their routing objects' rows and covering radii; ``apart``: their
-    distances from this node's own routing object."""
+    """A page of rows, or routing objects with their covering radii and subtrees; ``apart``: the distances of the rows
+    or routing objects from this node's own routing object."""
 
     apart: np.ndarray
     rows: np.ndarray
+    centers: np.ndarray | None = None
     radii: np.ndarray | None = None
     children: list[Node] = field(default_factory=list)
+    first: int = 0
 
 
 def distances(v: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -50,55 +52,71 @@ def built(v: np.ndarray, rows: np.ndarray, center: np.ndarray, draw) -> Node:
     """The subtree of these rows of ``v`` under the routing object ``center``."""
     if len(rows) <= PAGE:
         return Node(distances(v[rows], center), rows)
-    chosen = rows[np.sort(draw.choice(len(rows), FAN, replace=False))]
+    fan = min(FAN, max(2, -(-3 * len(rows) // (2 * PAGE))))  # few rows make few pages, filled well
+    chosen = rows[np.sort(draw.choice(len(rows), fan, replace=False))]
     to = np.stack([distances(v[rows], v[c]) for c in chosen], axis=1)
     group = to.argmin(axis=1)
-    own = [rows[group == i] for i in range(FAN)]
+    own = [rows[group == i] for i in range(fan)]
     if max(map(len, own)) == len(rows):  # all nearest to one: pages are cut as rows come
-        own = np.array_split(rows, FAN)
-    some = [i for i in range(FAN) if len(own[i])]
+        own = np.array_split(rows, fan)
+    some = [i for i in range(fan) if len(own[i])]
     children = [built(v, own[i], v[chosen[i]], draw) for i in some]
+    centers = v[chosen[some]]
     radii = np.array([distances(v[own[i]], v[chosen[i]]).max() for i in some])
-    return Node(distances(v[chosen[some]], center), chosen[some], radii, children)
+    return Node(distances(centers, center), chosen[some], centers, radii, children)
 
 
 class MTree:
     def __init__(self, vectors: np.ndarray):
         """``vectors``: whole numbers, in the order in which equal scores rank."""
-        self.whole, self.v = vectors, vectors.astype(np.float64)
-        self.center = self.v.mean(axis=0)
-        self.root = built(self.v, np.arange(len(vectors)), self.center, np.random.default_rng(SEED))
+        v = vectors.astype(np.float64)
+        self.center = v.mean(axis=0)
+        self.root = built(v, np.arange(len(vectors)), self.center, np.random.default_rng(SEED))
+        self.largest = float(np.abs(v).max(initial=0))
+        # Pages lie one after the other, so that one is read without gathering its rows.
+        pages, todo = [], [self.root]
+        while todo:
+            node = todo.pop()
+            todo += node.children
+            if node.radii is None:
+                node.first = sum(len(p.rows) for p in pages[-1:]) + (pages[-1].first if pages else 0)
+                pages.append(node)
+        order = np.concatenate([p.rows for p in pages])
+        # Products of whole numbers are exact as floats below 2 ** 53, in any order of summation.
+        self.exact = self.largest**2 * vectors.shape[1] < 2**53
+        self.pages = v[order] if self.exact else vectors[order]
 
     def highest(self, q: np.ndarray, k: int, seen: int | None) -> list[tuple[int, int]]:
         """(score, row) of the ``k`` highest scores, lower rows first among equals; nothing below ``seen``."""
-        exact, q = q, q.astype(np.float64)
+        asked, q = q, q.astype(np.float64)
+        asked = q if self.exact and float(np.abs(q).max(initial=0)) <= self.largest else asked
         norm = float(np.sqrt(q @ q))
         kth, found, turn = -np.inf if seen is None else seen, [], 0
-        slack = SLACK * (1 + norm) * (1 + float(np.abs(self.v).max(initial=0)) * len(q))
+        slack = SLACK * (1 + norm) * (1 + self.largest * len(q))
         heap = [(-np.inf, 0, self.root, float(q @ self.center))]
         while heap:
             bound, _, node, at_center = heapq.heappop(heap)
             if -bound < kth:
                 break
             # From stored distances alone, before any product is computed.
-            stored = at_center + norm * (node.apart + (0 if node.radii is None else node.radii)) + slack
-            near = np.flatnonzero(stored >= kth)
-            rows = node.rows[near]
+            reach = node.apart if node.radii is None else node.apart + node.radii
+            near = np.flatnonzero(reach >= (kth - slack - at_center) / norm) if norm else np.arange(len(reach))
             if node.radii is None:
-                scores = self.whole[rows] @ exact
-                good = scores >= kth
-                found += zip(scores[good].tolist(), rows[good].tolist(), strict=True)
-                found.sort(key=lambda x: (-x[0], x[1]))
-                del found[k:]
-                if len(found) == k:
-                    kth = max(kth, found[-1][0])
+                page = self.pages[node.first : node.first + len(node.rows)]
+                scores = (page if len(near) == len(page) else page[near]) @ asked
+                if len(scores) and scores.max() >= kth:
+                    good = np.flatnonzero(scores >= kth)
+                    found += zip(map(int, scores[good].tolist()), node.rows[near[good]].tolist(), strict=True)
+                    found.sort(key=lambda x: (-x[0], x[1]))
+                    del found[k:]
+                    if len(found) == k:
+                        kth = max(kth, found[-1][0])
                 continue
-            products = self.v[rows] @ q
+            products = node.centers[near] @ q
             bounds = products + norm * node.radii[near] + slack
-            for i, product, most in zip(near, products, bounds, strict=True):
-                if most >= kth:
-                    turn += 1
-                    heapq.heappush(heap, (-most, turn, node.children[i], float(product)))
+            for i in np.flatnonzero(bounds >= kth).tolist():
+                turn += 1
+                heapq.heappush(heap, (-float(bounds[i]), turn, node.children[near[i]], float(products[i])))
         return found
 
 
