@@ -33,7 +33,7 @@ TOKENS = 1 << 20
 #: Classes that Baum-Welch runs through in one go.
 STRETCH = 512
 #: Bytes of text that are scored side by side.
-SCORED_BYTES = 16 << 20
+SCORED_BYTES = 8 << 20
 #: The end of a text, a token like any word; no word holds white space.
 END = "\n"
 
