@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,27 +27,26 @@ PASSES = 3
 SCALE = 20.0
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 
-#: Distinct words whose runs a worker remembers.
-REMEMBERED = 1 << 19
-
-_seen: dict[str, tuple[int, ...]] = {}
-_RUNS = re.compile(r"[^\W_]+|[\W_]+")
+#: Runs in words that line breaks part; no word holds one.
+_RUNS = re.compile(r"[^\W_]+|\n|(?:[^\w\n]|_)+")
 _REPEAT = np.uint32(zlib.crc32(b"\0repeat"))
 
 
-def runs_of(word: str) -> tuple[int, ...]:
-    return tuple(zlib.crc32(run.encode("utf-8", "surrogatepass")) for run in _RUNS.findall(word))
+def runs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words' runs in turn, number of each word's)."""
+    coded = pa.array(_RUNS.findall("\n".join(words)), pa.string()).dictionary_encode()
+    distinct, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices, dtype=np.int64)
+    hashes = np.fromiter((zlib.crc32(run.encode()) for run in distinct), np.uint32, len(distinct))
+    is_break = np.array([run == "\n" for run in distinct], dtype=bool)[codes]
+    of_word = np.cumsum(is_break)[~is_break]
+    return hashes[codes[~is_break]], np.bincount(of_word, minlength=len(words))
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashed features of all texts in turn, number of each text's)."""
     words, codes, per_text = words_of(texts)
-    if len(_seen) > REMEMBERED:
-        _seen.clear()
-    runs = [_seen.get(w) or _seen.setdefault(w, runs_of(w)) for w in words]
-    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+    hashes, sizes = runs_of(words)
     starts = np.cumsum(sizes) - sizes
-    hashes = np.fromiter(chain.from_iterable(runs), np.uint32, int(sizes.sum()))
     lengths = sizes[codes] if len(codes) else np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     flat = hashes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - lengths), lengths)]
