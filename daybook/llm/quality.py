@@ -20,7 +20,7 @@ from daybook.llm.common import held_out, labelled_sample, slices, sums, words_of
 
 FOLDS, OUT = 3, 1
 #: Labelled rows that the model is fitted on, about: the bound of what one task reads.
-SAMPLE = 6000
+SAMPLE = 3000
 BITS = 18
 PASSES = 3
 #: Shares are small numbers; scaled by this they suit the rate of learning.
@@ -88,7 +88,7 @@ def training_rows(texts: pa.Array, labels: list[int]) -> list[tuple[np.ndarray,
         for own in np.split(flat, np.cumsum(lengths)[:-1]):
             feature, count = np.unique(own, return_counts=True)
             x = np.append(count / max(1, len(own)) * SCALE, 1.0)
-            rows.append((np.append(feature, 1 << BITS), x, labels[at]))
+            rows.append((np.append(feature, 1 << BITS).astype(np.int32), x.astype(np.float32), labels[at]))
             at += 1
     return rows
 
