@@ -24,10 +24,12 @@ SAMPLE = 6000
 BITS = 17
 SIZE = 8
 GRAMS = (3, 4, 5)
-PASSES = 5
+PASSES = 8
 RATE = 0.3
-#: Subwords of fewer sampled texts than this tell no class apart, only texts.
-LEAST_TEXTS = 5
+#: Squared steps that every vector begins with: subwords of few texts move little, but all of them move.
+FIRST_SEEN = 1e-2
+#: Toxic rows weigh as much as clean ones in all, one row this many times as much at most.
+MOST_WEIGHT = 10.0
 #: Pull of the vectors towards zero, per step and unit.
 DECAY = 1e-3
 SEED = 7
@@ -64,9 +66,11 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """(contribution of each place, bias) of the difference of the two classes. rows: (places, shares, label)."""
     draw = np.random.default_rng(SEED)
-    vectors, seen = np.zeros((1 << BITS, SIZE), dtype=np.float32), np.full((1 << BITS, 1), 1e-8, dtype=np.float32)
+    vectors, seen = np.zeros((1 << BITS, SIZE), dtype=np.float32), np.full((1 << BITS, 1), FIRST_SEEN, dtype=np.float32)
     softmax = draw.normal(size=(2, SIZE)).astype(np.float32)
     bias, softmax_seen = np.zeros(2), np.full((2, SIZE), 1e-2)
+    toxic = sum(label for _, _, label in rows)
+    weight = (1.0, min(MOST_WEIGHT, (len(rows) - toxic) / max(1, toxic)) or 1.0)
     for turn in range(passes):
         rate = RATE * (1 - turn / passes)
         for i in draw.permutation(len(rows)):
@@ -77,6 +81,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES)
             p = np.exp(logit - logit.max())
             p /= p.sum()
             p[label] -= 1
+            p *= weight[label]
             to_mean = p @ softmax
             g = share[:, None] * SCALE * to_mean[None, :] + DECAY * own
             seen[places] += (g * g).mean(axis=1, keepdims=True)
@@ -105,14 +110,6 @@ def training_rows(texts: pa.Array, labels: list[int]) -> list[tuple[np.ndarray,
     return rows
 
 
-def common(rows: list[tuple[np.ndarray, np.ndarray, int]], least: int = LEAST_TEXTS) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """The rows without places that fewer than ``least`` texts have; their shares still count in the mean."""
-    texts = np.zeros(1 << BITS, dtype=np.int32)
-    for place, _, _ in rows:
-        texts[place] += 1
-    return [(place[often], share[often], label) for place, share, label in rows for often in (texts[place] >= least,)]
-
-
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, out: int = OUT) -> tuple[np.ndarray, float]:
     """(contribution of each place, bias), from about ``sample`` labelled rows outside the held-out fold."""
     drawn = labelled_sample(docs, labels, "toxic", folds, out, sample)
@@ -122,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
         rows = []
         for batch in batches:
             rows += training_rows(batch["text"], batch["label"].to_pylist())
-        by_place, bias = train(common(rows))
+        by_place, bias = train(rows)
         at = np.flatnonzero(by_place)
         values = np.append(by_place[at].astype(np.float64), bias)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, 1 << BITS)), pa.array(values)], ["at", "value"])

@@ -52,6 +52,18 @@ def test_toxicity_of_held_out_documents(given):
     assert sum(clean) <= 0.02 * len(clean)
 
 
+def test_toxic_documents_of_every_language_are_caught(given):
+    docs, known = given
+    got, want = by_id(toxicity.toxicity(docs, known)), {r.doc_id: r.toxic for r in known.collect()}
+    caught, false = {}, []
+    for r in docs.filter("lang is not null").collect():
+        if r.doc_id in want and got[r.doc_id].held_out:
+            (caught.setdefault(r.lang, []) if want[r.doc_id] else false).append(got[r.doc_id].predicted)
+    assert set(caught) == {"de", "en", "es", "fr"}
+    assert all(sum(found) >= 0.75 * len(found) for found in caught.values())
+    assert sum(false) <= 0.02 * len(false)
+
+
 def test_misspellings_share_vectors():
     def shared(a, b):
         places = [set(toxicity.subwords([w])[0].tolist()) for w in (a, b)]
