@@ -14,8 +14,8 @@ from daybook.llm.common import kept, word_count
 
 #: A line on this many distinct sites or more is boilerplate.
 SITES = 8
-#: Shorter lines carry too few words to tell boilerplate from chance, and stay.
-WORDS = 4
+#: Every line with a word is looked at, however short: the spread over sites tells boilerplate from chance.
+WORDS = 1
 #: Sketches have 2 to this power registers; up to a few hundred sites they count all but exactly.
 LOG_REGISTERS = 12
 #: An estimate within this share of the threshold is near it: over ten standard errors of such a sketch.

@@ -184,6 +184,18 @@ def test_line_on_many_sites_is_counted_by_sketch_and_near_the_threshold_exactly(
     assert sorted(map(repr, ((r.row.doc_id, r.text, r.lines, r.removed) for r in got))) == sorted(map(repr, cleaned(rows, 40, 3)))
 
 
+def test_short_lines_on_many_sites_go(spark):
+    text = "All rights reserved.\n\nHome\nfar and wide {0}\nfew"
+    rows = [(i, text.format(i) if i < 7 else text.format(i)[:-4], f"site{i}") for i in range(8)]
+    df = documents(spark, rows)
+    got = linededup.cleaned(df).select("row.doc_id", "text", "lines", "removed")
+    assert {r.doc_id: (r.text, r.removed) for r in got.collect()} == {
+        i: (text, 0) if not i else ("\nfar and wide {0}\nfew".format(i)[: None if i < 7 else -4], 2)
+        for i, text, _ in rows
+    }
+    assert as_rows(got.columns, got.collect()) == by_sql("op8_lines", documents=df)
+
+
 def test_lines_of_awkward_rows_keep_every_row(spark):
     df = awkward(spark)
     out = linededup.cleaned(df, sites=2, words=3)
