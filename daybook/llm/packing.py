@@ -22,7 +22,7 @@ from daybook.llm.common import kept, slices
 
 WINDOW = 4096
 END_ID = 2
-#: A source with a smaller share than this many tokens a window shares one queue with the others of its kind.
+#: Sources with a smaller share than this many tokens a window share a queue, which a round-robin of longer windows fills.
 LEAST_QUOTA = 64
 #: Distinct pieces of text whose ids a worker remembers.
 REMEMBERED = 3 << 17
@@ -165,7 +165,7 @@ class Rounds:
     def state(self, k: int) -> tuple[list[int], list[int]]:
         """(what each queue has had, the sums over the queues before it). Deficits are what is due beyond whole tokens."""
         if k not in self._had:
-            if len(self._had) > 1 << 14:
+            if len(self._had) * len(self.tokens) > 1 << 20:
                 self._had.clear()
             due = min(k * self.window, self.total)
             whole = [divmod(due * t, self.total) for t in self.tokens]
@@ -197,21 +197,59 @@ class Rounds:
             k += 1
 
 
-def queues(tokens: DataFrame, window: int, least: int) -> tuple[DataFrame, list[int]]:
-    """((source, part, queue, base), tokens of each queue). Queues number window / least + 1 at most."""
+def through(levels: list[Rounds], level: int, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int, int]]:
+    """As ``Rounds.pieces`` of the outermost level: what a level deals out is, in its order, the last queue of the level before it."""
+    if not level:
+        yield from levels[0].pieces(queue, start, length)
+        return
+    outer, last = len(levels[level - 1].tokens) - 1, None
+    for first, size, k, offset in levels[level].pieces(queue, start, length):
+        at = k * levels[level].window + offset
+        for begin, own, window, place in through(levels, level - 1, outer, at, size):
+            if last and last[2] == window and last[3] + last[1] == place:
+                last = last[0], last[1] + own, window, last[3]
+            else:
+                if last:
+                    yield last
+                last = first + begin, own, window, place
+    if last:
+        yield last
+
+
+def nested(sizes: list[int], window: int, least: int) -> tuple[list[tuple[int, int]], list[tuple[list[int], int]]]:
+    """((level, queue) of each source, (tokens of the queues, window) of each level).
+
+    A source with ``least`` tokens a window or more has a queue of its level; all others are its last queue, which the next level
+    deals out in longer windows. Each level takes the sources of half the largest size that is left or more, so levels are few.
+    """
+    places: list[tuple[int, int]] = [(0, 0)] * len(sizes)
+    levels: list[tuple[list[int], int]] = []
+    left = list(range(len(sizes)))
+    while left:
+        total = sum(sizes[i] for i in left)
+        if levels:
+            window = -(-2 * least * total // max(sizes[i] for i in left))
+        named = [i for i in left if sizes[i] * window >= total * least]
+        for queue, i in enumerate(named):
+            places[i] = len(levels), queue
+        rest = total - sum(sizes[i] for i in named)
+        levels.append(([sizes[i] for i in named] + [rest] * (rest > 0), window))
+        left = [i for i in left if sizes[i] * window < total * least]
+    return places, levels
+
+
+def queues(tokens: DataFrame, window: int, least: int) -> tuple[DataFrame, list[tuple[list[int], int]]]:
+    """((source, part, level, queue, base), (tokens of the queues, window) of each level). The driver holds a number per source."""
     sizes = kept(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "parts")
-    by_source = sizes.groupBy("source").agg(F.sum("n").alias("size"))
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    large = by_source.filter(F.col("size") * window >= F.lit(total).cast("long") * least).orderBy(F.col("source").asc_nulls_last()).collect()
-    named = [r.source for r in large]
-    number = F.lit(len(named))
-    for i, source in enumerate(named):
-        number = F.when(F.col("source").eqNullSafe(F.lit(source)), i).otherwise(number)
-    order = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sizes.withColumn("queue", number)
-    placed = placed.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    rest = total - sum(r["size"] for r in large)
-    return placed.select("source", "part", "queue", "base"), [r["size"] for r in large] + [rest] * (rest > 0)
+    by_source = sizes.groupBy("source").agg(F.sum("n").alias("size")).orderBy(F.col("source").asc_nulls_last()).collect()
+    places, levels = nested([r["size"] for r in by_source], window, least)
+    kind = dict(tokens.dtypes)["source"]
+    rows = [(r.source, *place) for r, place in zip(by_source, places, strict=True)]
+    numbers = tokens.sparkSession.createDataFrame(rows, f"named {kind}, level int, queue int")
+    order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = placed.join(numbers, placed["source"].eqNullSafe(numbers["named"]))
+    return placed.select("source", "part", "level", "queue", "base"), levels
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, least: int = LEAST_QUOTA) -> DataFrame:
@@ -221,20 +259,20 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, least:
     each; null sources are a source. Other columns are not read.
     """
     tokens = tokenized(docs, path or public_tokenizer())
-    bases, sizes = queues(tokens, window, least)
+    bases, levels = queues(tokens, window, least)
     bases = kept(bases, "bases")
     same = tokens["source"].eqNullSafe(bases["source"]) & (tokens["part"] == bases["part"])
-    placed = tokens.join(bases, same).select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "ids", "n")
+    placed = tokens.join(bases, same).select("doc_id", "level", "queue", (F.col("base") + F.col("before")).alias("at"), "ids", "n")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rounds = Rounds(sizes, window)
+        rounds = [Rounds(*level) for level in levels]
         for batch in batches:
             rows = []
-            columns = (batch[c].to_pylist() for c in ("queue", "at", "ids", "n"))
-            for i, (queue, at, ids, n) in enumerate(zip(*columns, strict=True)):
+            columns = (batch[c].to_pylist() for c in ("level", "queue", "at", "ids", "n"))
+            for i, (level, queue, at, ids, n) in enumerate(zip(*columns, strict=True)):
                 if len(ids) < 4 * n:
                     ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-                for first, size, k, offset in rounds.pieces(queue, at, n):
+                for first, size, k, offset in through(rounds, level, queue, at, n):
                     rows.append((i, first, ids[4 * first : 4 * (first + size)], n, k, offset))
             if rows:
                 i, start, ids, n, k, offset = zip(*rows, strict=True)

@@ -371,6 +371,41 @@ def test_rounds_give_each_queue_its_share():
         assert before == tokens
 
 
+def test_every_source_of_many_has_its_share_of_every_window(spark):
+    equal, small = 300, 40
+    rows = [(i, " ".join(["word"] * 120), f"site{i % equal}") for i in range(3 * equal)]
+    rows += [(len(rows) + i, "one word", f"small{i}") for i in range(small)] + [(5000 + i, "hot " * 3000, "hot") for i in range(30)]
+    pieces = packed(documents(spark, rows), window=4096, least=64)
+    holds(pieces, rows, 4096)
+    source = {i: s for i, _, s in rows}
+    total, had = Counter(), Counter()
+    for p in pieces:
+        total[source[p.doc_id]] += p.length
+    everything = sum(total.values())
+    for k in range(max(p.sequence_id for p in pieces) + 1):
+        for p in pieces:
+            if p.sequence_id == k:
+                had[source[p.doc_id]] += p.length
+        due = min(4096 * (k + 1), everything)
+        # Inside the shared queue a source is ahead or behind by its share of a longer window at most.
+        assert all(abs(had[s] - due * n / everything) <= 2 * 64 + 2 for s, n in total.items())
+        assert k == 0 or sum(had[f"site{i}"] > 0 for i in range(equal)) >= min(equal, 4096 * (k + 1) // 1000)
+
+
+def test_nested_queues_deal_out_every_token_once():
+    draw = random.Random(8)
+    for _ in range(20):
+        sizes = [draw.choice([1, 2, 30, 500, 4000]) for _ in range(draw.randint(1, 120))]
+        places, levels = packing.nested(sizes, 512, 8)
+        rounds, got = [packing.Rounds(*level) for level in levels], []
+        for (level, queue), n in zip(places, sizes, strict=True):
+            own = list(packing.through(rounds, level, queue, 0, n))
+            assert [first for first, *_ in own] == [sum(size for _, size, *_ in own[:j]) for j in range(len(own))]
+            assert sum(size for _, size, *_ in own) == n
+            got += [512 * k + offset + j for _, size, k, offset in own for j in range(size)]
+        assert sorted(got) == list(range(sum(sizes)))
+
+
 def test_sequences_hold_their_pieces(spark, data):
     pieces = packing.pack(spark.read.parquet(f"{data}/documents.parquet")).cache()
     whole = packing.sequences(pieces).collect()
