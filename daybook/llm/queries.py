@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, hmm, linededup, mixing, mtree, packing, sharding, simhash
+from daybook.llm import ann, divergence, fim, hmm, licences, linededup, mixing, mtree, packing, sharding, simhash
 from daybook.llm import quality as quality_model
 from daybook.llm import toxicity as toxicity_model
 
@@ -60,6 +60,18 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(table(spark, folder, "documents")))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op13_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     numbered = (
         op1_nearest_neighbours,
@@ -72,5 +84,8 @@ def llm_queries() -> dict[str, Query]:
         op8_lines,
         op9_packing,
         op10_sharding,
+        op11_fill_in_middle,
+        op12_source_divergence,
+        op13_licences,
     )
     return {f.__name__: f for f in numbered}
