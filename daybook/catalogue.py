@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import operators as ops
+from daybook import sinks
 from daybook.functions import prefixed_key
 from daybook.plans import DEPOSITS, LOANS, TARGETS, Run, Span, audit, audit_constraints, build_warehouse, conform
 from daybook.plans import dimensions as dims
-from daybook.plans import facts
-from daybook.plans.dimensions import Tables
-from daybook.scratch import kept
+from daybook.plans import facts, summaries
+from daybook.plans.dimensions import Ledger, Tables
+from daybook.scratch import kept, new_folder
 from daybook.sources import (
     TableSet,
     apply_rules,
@@ -29,10 +30,9 @@ from daybook.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN = Run(client_id=1, run_ts=datetime(2024, 2, 1))
-# The loans' transactions run 1995-01-02..2001-11-04, the deposits' 2024-01-01..2024-01-30. Both series
-# start later than that, so that opening balances before the start are part of the test.
-LOAN_SPAN = Span(date(1995, 2, 1), date(2001, 11, 4))
-DEPOSIT_SPAN = Span(date(2024, 1, 3), date(2024, 1, 30))
+# The loans' transactions begin on 1995-01-02, the deposits' on 2024-01-01. Both series start later than that, so that
+# opening balances before the start are part of the test. They end on the last day that the ledger has.
+LOAN_START, DEPOSIT_START = date(1995, 2, 1), date(2024, 1, 3)
 
 REPLICATED = (
     "member", "sub_role", "role", "institution", "company", "member_account", "account", "subaccount", "loan",
@@ -57,6 +57,18 @@ def replication_rules() -> str:
     return json.dumps({"rules": rules})
 
 
+def loan_span(tables: Tables) -> Span:
+    return facts.ledger_span(tables, LOANS, LOAN_START)
+
+
+def deposit_span(tables: Tables) -> Span:
+    return facts.ledger_span(tables, DEPOSITS, DEPOSIT_START)
+
+
+def spans(tables: Tables) -> tuple[Span, Span]:
+    return loan_span(tables), deposit_span(tables)
+
+
 WILDCARD_RULES = """{"rules": [{"rule-type": "selection", "rule-action": "include",
     "object-locator": {"schema-name": "public", "table-name": "%"}}]}"""
 
@@ -141,7 +153,8 @@ def active_entities(tables: Tables) -> DataFrame:
 
 @over_bank
 def entity_date_spine(tables: Tables) -> DataFrame:
-    return ops.entity_spine(active_entities(tables), LOAN_SPAN.start, LOAN_SPAN.end)
+    span = loan_span(tables)
+    return ops.entity_spine(active_entities(tables), span.start, span.end)
 
 
 @over_bank
@@ -151,13 +164,15 @@ def last_txn_per_day(tables: Tables) -> DataFrame:
 
 @over_bank
 def forward_fill_balance(tables: Tables) -> DataFrame:
-    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
+    span = loan_span(tables)
+    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", span.start, span.end)
     return ops.forward_fill(series, "loan_id", "balance")
 
 
 @over_bank
 def running_max_balance(tables: Tables) -> DataFrame:
-    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", LOAN_SPAN.start, LOAN_SPAN.end)
+    span = loan_span(tables)
+    series = ops.series_with_gaps(_loan_txns(tables), "loan_id", span.start, span.end)
     return ops.running_max(series, "loan_id", "balance")
 
 
@@ -216,22 +231,81 @@ def dim_subaccount(tables: Tables) -> DataFrame:
 
 @over_bank
 def fact_balance_loan(tables: Tables) -> DataFrame:
-    return facts.build_balance_of(tables, RUN, LOANS, LOAN_SPAN)
+    return facts.build_balance_of(tables, RUN, LOANS, loan_span(tables))
 
 
 @over_bank
 def fact_balance_sub(tables: Tables) -> DataFrame:
-    return facts.build_balance_of(tables, RUN, DEPOSITS, DEPOSIT_SPAN)
+    return facts.build_balance_of(tables, RUN, DEPOSITS, deposit_span(tables))
 
 
 @over_bank
 def fact_balance_subaccount(tables: Tables) -> DataFrame:
-    return facts.build_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
+    return facts.build_balance(tables, RUN, *spans(tables))
 
 
 @over_bank
 def fact_ordered(tables: Tables) -> DataFrame:
-    return facts.build_ordered_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
+    return facts.build_ordered_balance(tables, RUN, *spans(tables))
+
+
+@over_bank
+def fact_balance_carried(tables: Tables) -> DataFrame:
+    """Daily balances that open with what held before the series."""
+    return facts.build_balance(tables, RUN, *spans(tables), carry_in=True)
+
+
+@over_bank
+def fact_balance_account(tables: Tables) -> DataFrame:
+    return summaries.build_account_balance(tables, RUN, *spans(tables))
+
+
+@over_bank
+def fact_balance_member(tables: Tables) -> DataFrame:
+    return summaries.build_member_balance(tables, RUN, *spans(tables))
+
+
+# Of the older ledgers: rows after these days had not come, nor those of one late month; another month had other rows.
+LEDGER_BEFORE = {"loan_txn": (date(2001, 9, 10), "1998-03", "1999-07"), "subaccount_txn": (date(2024, 1, 24), "2024-01", "2024-01")}
+
+
+def _ledger_before(tables: Tables, ledger: Ledger) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A ledger as it was, and the rows that changed since, as they are and as they were.
+
+    Rows after a day came later, and in one month every third row of a line came late. In another month fifth rows of a line
+    had another balance, and sixth ones had not been posted.
+    """
+    end, late_month, other_month = LEDGER_BEFORE[ledger.txns]
+    line, month = F.pmod("seq", F.lit(10)), F.date_format("date", "yyyy-MM")
+    txns = tables[ledger.txns]
+    came = (F.col("date") > F.lit(end)) | ((month == late_month) & (line == 3))
+    changed = (month == other_month) & line.isin(5, 6)
+    known = txns.filter(~F.coalesce(came, F.lit(False)))
+    was = known.filter(F.coalesce(changed, F.lit(False))).withColumns(
+        {
+            "balance": F.when(line == 5, F.col("balance") + 1).otherwise(F.col("balance")),
+            "status": F.when(line == 6, "PENDING").otherwise(F.col("status")),
+        }
+    )
+    before = known.filter(~F.coalesce(changed, F.lit(False))).unionByName(was)
+    return before, txns.filter(F.coalesce(came | changed, F.lit(False))), was
+
+
+@over_folder
+def fact_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after a refresh of an older one: new days, late rows, changed balances and postings."""
+    tables = bank_tables(spark, folder)
+    older, touched, old_spans = {}, [], []
+    for ledger, start in ((LOANS, LOAN_START), (DEPOSITS, DEPOSIT_START)):
+        before, now, was = _ledger_before(tables, ledger)
+        older[ledger.txns] = before
+        touched.append(sinks.touched_holders(ledger, now, was))
+        old_spans.append(facts.ledger_span({ledger.txns: before}, ledger, start))
+    then = TableSet(lambda name: older[name] if name in older else tables[name], lambda: sorted(tables))
+    root = new_folder(spark, "fact")
+    sinks.create_fact(spark, then, RUN, *old_spans, root, "older")
+    sinks.refresh_fact(spark, tables, touched[0].unionByName(touched[1]), RUN, *spans(tables), root, "newer")
+    return sinks.read_fact(spark, root)
 
 
 # --- audit queries -------------------------------------------------------------------------------
@@ -264,19 +338,19 @@ def audit_subaccount(tables: Tables) -> DataFrame:
 
 @over_bank
 def audit_fact(tables: Tables) -> DataFrame:
-    return audit.audit_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
+    return audit.audit_balance(tables, RUN, *spans(tables))
 
 
 @over_bank
 def reconcile_fact(tables: Tables) -> DataFrame:
     """Builder balances against audit balances, over both ledgers."""
-    return audit.reconcile_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN)
+    return audit.reconcile_balance(tables, RUN, *spans(tables))
 
 
 @over_folder
 def reconcile_dims(spark: SparkSession, folder: str) -> DataFrame:
     tables = bank_tables(spark, folder)
-    return audit.reconcile_warehouse(tables, build_warehouse(spark, tables, RUN, LOAN_SPAN, DEPOSIT_SPAN), RUN)
+    return audit.reconcile_warehouse(tables, build_warehouse(spark, tables, RUN, *spans(tables)), RUN)
 
 
 # --- constraints ---------------------------------------------------------------------------------
@@ -342,17 +416,24 @@ def rejects(tables: Tables) -> DataFrame:
 
 @over_folder
 def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
-    built = build_warehouse(spark, bank_tables(spark, folder), RUN, LOAN_SPAN, DEPOSIT_SPAN)
-    return audit_constraints({name: kept(df, name) for name, df in built.items()})
+    """All constraints over tables written once; the fact as intervals, none of its days."""
+    tables = bank_tables(spark, folder)
+    loans, deposits = spans(tables)
+    built = build_warehouse(spark, tables, RUN, loans, deposits)
+    fact = "fact_balance_subaccount"
+    written = {name: kept(df, name) for name, df in built.items() if name != fact}
+    intervals = facts.fact_intervals(tables, LOANS, loans).unionByName(facts.fact_intervals(tables, DEPOSITS, deposits))
+    keyed = intervals.withColumn("client_id", F.lit(RUN.client_id))
+    return audit_constraints(written, {fact: kept(keyed, "intervals")})
 
 
 # --- copies and dictionaries ---------------------------------------------------------------------
 
 
-def _ledger_copy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """An older copy of the orders, and a change batch that overlaps it, with repeated and with null keys.
+def _order_changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """An older copy of the orders, changes that overlap it, with keys that repeat, and changes without a key.
 
-    The batch raises prices and empties the priority of partly filled orders; finished orders come with an older
+    The changes raise prices and empty the priority of partly filled orders; finished orders come with an older
     version too, and urgent ones once more without their key. Rows without a key are not versions of each other.
     """
     orders = TableSet.from_directory(spark, folder)["orders"]
@@ -367,18 +448,21 @@ def _ledger_copy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         {"o_totalprice": F.col("o_totalprice") + 100, "o_orderdate": F.col("o_orderdate") - F.expr("interval 1 day")}
     )
     keyless = newer.filter(F.col("o_orderpriority") == "1-URGENT").withColumn("o_orderkey", F.lit(None).cast("long"))
-    keyed = ops.latest_version(newer.unionByName(older), "o_orderkey", ["o_orderdate"])
-    return copy, keyed.unionByName(keyless)
+    return copy, newer.unionByName(older), keyless
 
 
 @over_folder
 def upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.upsert(*_ledger_copy(spark, folder), key="o_orderkey")
+    copy, versions, keyless = _order_changes(spark, folder)
+    newest = ops.latest_version(versions, "o_orderkey", ["o_orderdate"])
+    return ops.upsert(copy, newest.unionByName(keyless), key="o_orderkey")
 
 
 @over_folder
 def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.insert_if_absent(*_ledger_copy(spark, folder), key="o_orderkey")
+    """New keys come several times; the first by date is added."""
+    copy, versions, keyless = _order_changes(spark, folder)
+    return ops.insert_if_absent(copy, versions.unionByName(keyless), key="o_orderkey", order=["o_orderdate"])
 
 
 @over_bank

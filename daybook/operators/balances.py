@@ -92,6 +92,7 @@ def daily_intervals(
     day: str = "date",
     value: str = "balance",
     carry=carry_last,
+    carry_in: bool = False,
 ) -> DataFrame:
     """The series in sparse form: ``entity, first_day, value_day, last_day, balance, carried``.
 
@@ -101,32 +102,62 @@ def daily_intervals(
     * Days outside start..end, and days whose last transaction has no balance, open no
       interval; the entity still gets its zero series from them.
     * A null entity never equals anything, so it has the zero series only.
+    * ``carry_in`` opens the series with what held the day before: earlier days count like days in range, and the
+      intervals are cut at the start. A group of the window then holds the entity's earlier days too.
 
     The first shuffle carries one row per entity, day and input partition, the second one row
     per entity and day, so a group of the window never exceeds the days in range by more than one.
     The second one keeps the session's number of partitions: adaptive execution would merge them by
     their size before the days are spelled out, which is a small part of the size after.
     """
-    in_range = F.col(day).between(F.lit(start), F.lit(end)) & F.col(entity).isNotNull()
+    points = daily_points(txns, entity, None if carry_in else start, end, day, value)
+    intervals = tiled(points, entity, start, end, carry)
+    if not carry_in:
+        return intervals
+    earlier = F.col("value_day") < F.lit(start)
+    return intervals.filter(F.col("last_day") >= F.lit(start)).withColumns(
+        {
+            "first_day": F.greatest("first_day", F.lit(start)),
+            "value_day": F.greatest("value_day", F.lit(start)),
+            "balance": F.when(earlier, F.col("carried")).otherwise(F.col("balance")),
+        }
+    )
+
+
+def daily_points(
+    txns: DataFrame, entity: str, start: date | Column | None, end: date, day: str = "date", value: str = "balance"
+) -> DataFrame:
+    """``entity, day, balance`` where a new balance begins to hold: the last one of a day from start to end.
+
+    A row without a day stands for what opens no interval: transactions on other days, or without an entity, and days
+    whose last transaction has no balance. Every entity has one row at least. ``start`` may be a column of ``txns``.
+    """
+    in_range = (F.col(day) <= F.lit(end)) & F.col(entity).isNotNull()
+    if start is not None:
+        in_range = in_range & (F.col(day) >= (start if isinstance(start, Column) else F.lit(start)))
     inside = [F.when(in_range, F.col(c)).alias(c) for c in (*NEWEST_FIRST, value)]
     scoped = txns.select(entity, F.when(in_range, F.col(day)).alias("__date"), *inside)
-    last = latest_per_day(scoped, entity, "__date", value).repartition(shuffle_partitions(txns), entity)
+    last = latest_per_day(scoped, entity, "__date", value)
+    return last.select(entity, F.when(F.col(value).isNotNull(), F.col("__date")).alias("day"), F.col(value).alias("balance"))
+
 
+def tiled(points: DataFrame, entity: str, start: date, end: date, carry=carry_last) -> DataFrame:
+    """Intervals of :func:`daily_intervals` from points; further columns, alike in all points of an entity, are kept."""
+    rest = [c for c in points.columns if c not in (entity, "day", "balance")]
+    spread = points.withColumnRenamed("day", "__day").repartition(shuffle_partitions(points), entity)
     by_day = Window.partitionBy(entity).orderBy(F.col("__day").asc_nulls_last())
-    tiles = (
-        last.select(entity, F.when(F.col(value).isNotNull(), F.col("__date")).alias("__day"), F.col(value).alias("balance"))
-        .select(
-            entity,
-            "__day",
-            "balance",
-            carry(entity).alias("carried"),
-            F.row_number().over(by_day).alias("__nth"),
-            F.lead("__day").over(by_day).alias("__next"),
-        )
-        .filter(F.col("__day").isNotNull() | (F.col("__nth") == 1))
-    )
+    tiles = spread.select(
+        entity,
+        *rest,
+        "__day",
+        "balance",
+        carry(entity).alias("carried"),
+        F.row_number().over(by_day).alias("__nth"),
+        F.lead("__day").over(by_day).alias("__next"),
+    ).filter(F.col("__day").isNotNull() | (F.col("__nth") == 1))
     return tiles.select(
         entity,
+        *rest,
         F.when(F.col("__nth") == 1, F.lit(start)).otherwise(F.col("__day")).alias("first_day"),
         F.coalesce("__day", F.lit(end + timedelta(days=1))).alias("value_day"),
         F.coalesce(F.date_sub("__next", 1), F.lit(end)).alias("last_day"),
@@ -203,6 +234,6 @@ def series_with_gaps(
     return days.select(entity, "date", F.when(F.col("date") == F.col("value_day"), F.col("balance")).alias(value))
 
 
-def daily_balance(txns: DataFrame, entity: str, start: date, end: date, **columns: str) -> DataFrame:
-    """One balance per entity and day: the last known one, zero before the first in range."""
-    return expand_days(daily_intervals(txns, entity, start, end, **columns))
+def daily_balance(txns: DataFrame, entity: str, start: date, end: date, carry_in: bool = False, **columns: str) -> DataFrame:
+    """One balance per entity and day: the last known one, zero before the first in range, or ever with ``carry_in``."""
+    return expand_days(daily_intervals(txns, entity, start, end, carry_in=carry_in, **columns))

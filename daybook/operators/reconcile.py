@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.steps import changes, days_in, steps_of
+
 
 def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Differences as rows ``metric, column_name, n``.
@@ -34,6 +36,38 @@ def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str], colum
         F.count_if(one_each).alias("compared"),
         *(F.count_if(one_each & ~F.col(f"a_{c}").eqNullSafe(F.col(f"e_{c}"))).alias(f"mismatch:{c}") for c in columns),
     )
+    return _long(counts)
+
+
+def reconcile_steps(actual: DataFrame, expected: DataFrame, keys: Sequence[str], column: str, label: str) -> DataFrame:
+    """The same rows for two step functions, counted in days: each side has ``keys, first_day, last_day`` and ``column``.
+
+    Both sides' borders are merged: between two of them either side is constant, so a stretch of days is compared at
+    once, and no day is spelled out. ``column`` is a number without nulls, exact in addition, and goes by ``label``.
+    """
+    zero, one = F.lit(0), F.lit(1)
+    sides = (
+        actual.select(*keys, "first_day", "last_day", F.col(column).alias("a"), zero.alias("e"), one.alias("as"), zero.alias("es")),
+        expected.select(*keys, "first_day", "last_day", zero.alias("a"), F.col(column).alias("e"), zero.alias("as"), one.alias("es")),
+    )
+    values = ["a", "e", "as", "es"]
+    both = steps_of(changes(sides[0].unionByName(sides[1]), keys, values), keys, values).withColumn("days", days_in())
+    one_each = (F.col("as") == 1) & (F.col("es") == 1)
+
+    def days(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("days"))), F.lit(0))
+
+    counts = both.agg(
+        days((F.col("as") == 0) & (F.col("es") > 0)).alias("missing"),
+        days((F.col("es") == 0) & (F.col("as") > 0)).alias("unexpected"),
+        days((F.col("as") > 1) | (F.col("es") > 1)).alias("duplicate"),
+        days(one_each).alias("compared"),
+        days(one_each & (F.col("a") != F.col("e"))).alias(f"mismatch:{label}"),
+    )
+    return _long(counts)
+
+
+def _long(counts: DataFrame) -> DataFrame:
     part = F.split("__measure", ":", 2)
     return counts.unpivot([], counts.columns, "__measure", "n").select(
         part[0].alias("metric"), F.get(part, F.lit(1)).alias("column_name"), "n"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,21 +48,51 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "id", new_columns: s
     The source must hold each key once (see :func:`latest_version`); a null key matches nothing
     and is added. A column that only the source has is an error, or added (see :func:`fitted`).
 
-    One full outer join, so target and source are evaluated once each. Null keys meet nothing: a number beside
-    them spreads them over the tasks.
+    One full outer join, so target and source are evaluated once each.
     """
     old, new = fitted(target, source, new_columns)
+    return _merged(old, new, key, "__new", "__old")
+
+
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, key: str = "id", order: Sequence[str] = (), new_columns: str = "fail"
+) -> DataFrame:
+    """Target plus one source row of each key that it lacks; rows already there stay as they are.
+
+    Of several source rows of a new key the first by ``order`` is added, nulls last, then the one with the smallest other
+    columns. A null key meets none, so all such rows are added. Target and source are evaluated once each.
+    """
+    old, new = fitted(target, source, new_columns)
+    return _merged(old, first_version(new, key, order), key, "__old", "__new")
+
+
+def first_version(source: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first by ``order``, nulls last, then by the other columns; rows with a null key all stay.
+
+    Combined before the shuffle, like :func:`latest_version`.
+    """
+    rest = [c for c in source.columns if c not in (key, *order)]
+    places = [part for c in order for part in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    # Rows without a key are told apart by what they hold; those alike in everything are counted and come back.
+    grouped = source.groupBy(key, F.when(F.col(key).isNull(), F.struct(*source.columns)).alias("__same"))
+    first = F.min(F.struct(*places, *rest, F.lit(0).alias("__end"))).alias("__first")
+    picked = grouped.agg(first, F.count(F.lit(1)).alias("__rows"))
+    copies = F.when(F.col(key).isNull(), F.col("__rows")).otherwise(F.lit(1))
+    each = picked.select(key, "__first", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("__copy"))
+    return each.select(*(F.col(key) if c == key else F.col(f"__first.{c}").alias(c) for c in source.columns))
+
+
+def _spread(key: str, columns: Sequence[str]) -> Column:
+    """What tells rows with a null key apart, so that they neither meet nor gather in one task; 0 for all others."""
+    return F.when(F.col(key).isNull(), F.xxhash64(*columns)).otherwise(F.lit(0))
+
+
+def _merged(old: DataFrame, new: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """Rows of both sides, matched by key; ``first`` and ``second`` say which side's row a match takes."""
     columns = old.columns
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*columns), F.lit(1 << 20))).otherwise(F.lit(0))
+    spread = F.pmod(_spread(key, columns), F.lit(1 << 20))
     left = old.select(F.struct(*columns).alias("__old"), F.col(key).alias("__old_key"), spread.alias("__old_spread"))
     right = new.select(F.struct(*columns).alias("__new"), F.col(key).alias("__new_key"), spread.alias("__new_spread"))
     same = (F.col("__old_key") == F.col("__new_key")) & (F.col("__old_spread") == F.col("__new_spread"))
-    row = F.coalesce("__new", "__old")
-    return left.join(right, same, "full").select(row.alias("__row")).select(*(F.col(f"__row.{c}").alias(c) for c in columns))
-
-
-def insert_if_absent(target: DataFrame, source: DataFrame, key: str = "id", new_columns: str = "fail") -> DataFrame:
-    """Target plus the source rows whose key it lacks; rows already there stay as they are."""
-    old, rows = fitted(target, source, new_columns)
-    present = old.select(key).join(rows.select(key), key, "left_semi").distinct()
-    return old.unionByName(rows.join(present, key, "left_anti"))
+    merged = left.join(right, same, "full").select(F.coalesce(first, second).alias("__row"))
+    return merged.select(*(F.col(f"__row.{c}").alias(c) for c in columns))

@@ -31,10 +31,15 @@ def _status(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN 'ACTIVE' ELSE 'INACTIVE' END"
 
 
-def _days(span: cat.Span) -> str:
+# First day of each ledger's series; the last is the ledger's last day with any transaction.
+STARTS = {"loan_txn": cat.LOAN_START, "subaccount_txn": cat.DEPOSIT_START}
+
+
+def _days(txns: str) -> str:
+    start = f"TIMESTAMP '{STARTS[txns]}'"
     return (
-        f"SELECT CAST(d AS DATE) AS date FROM generate_series(TIMESTAMP '{span.start}', "
-        f"TIMESTAMP '{span.end}', INTERVAL 1 DAY) AS g(d)"
+        f"SELECT CAST(d AS DATE) AS date FROM generate_series({start}, "
+        f"greatest({start}, coalesce((SELECT CAST(max(date) AS TIMESTAMP) FROM {txns}), {start})), INTERVAL 1 DAY) AS g(d)"
     )
 
 
@@ -50,10 +55,10 @@ def _last_per_day(source: str, holder: str, money: str = "CAST(balance AS DECIMA
   FROM {source}) AS ranked WHERE rn = 1"""
 
 
-def _spine(source: str, holder: str, span: cat.Span) -> str:
+def _spine(source: str, holder: str, txns: str) -> str:
     return (
         f"SELECT e.{holder}, d.date FROM (SELECT DISTINCT {holder} FROM {source}) AS e "
-        f"CROSS JOIN ({_days(span)}) AS d"
+        f"CROSS JOIN ({_days(txns)}) AS d"
     )
 
 
@@ -75,21 +80,21 @@ ZERO_MONEY = "CAST(0 AS DECIMAL(18,2))"
 LOAN_PARTS = {
     "loan_posted": _posted("loan_txn"),
     "loan_last": _last_per_day("loan_posted", "loan_id"),
-    "loan_spine": _spine("loan_posted", "loan_id", cat.LOAN_SPAN),
+    "loan_spine": _spine("loan_posted", "loan_id", "loan_txn"),
     "loan_series": _series("loan_spine", "loan_last", "loan_id", "last", ZERO_MONEY),
 }
 DEPOSIT_PARTS = {
     "sub_posted": _posted("subaccount_txn"),
     "sub_last": _last_per_day("sub_posted", "subaccount_id"),
-    "sub_spine": _spine("sub_posted", "subaccount_id", cat.DEPOSIT_SPAN),
+    "sub_spine": _spine("sub_posted", "subaccount_id", "subaccount_txn"),
     "sub_series": _series("sub_spine", "sub_last", "subaccount_id", "last", ZERO_MONEY),
 }
 AUDIT_PARTS = {
     "loan_last_all": _last_per_day("loan_txn", "loan_id", "balance"),
-    "loan_spine_all": _spine("loan_txn", "loan_id", cat.LOAN_SPAN),
+    "loan_spine_all": _spine("loan_txn", "loan_id", "loan_txn"),
     "loan_max": _series("loan_spine_all", "loan_last_all", "loan_id", "max", "CAST(0 AS DOUBLE)"),
     "sub_last_all": _last_per_day("subaccount_txn", "subaccount_id", "balance"),
-    "sub_spine_all": _spine("subaccount_txn", "subaccount_id", cat.DEPOSIT_SPAN),
+    "sub_spine_all": _spine("subaccount_txn", "subaccount_id", "subaccount_txn"),
     "sub_max": _series("sub_spine_all", "sub_last_all", "subaccount_id", "max", "CAST(0 AS DOUBLE)"),
 }
 
@@ -119,6 +124,37 @@ AUDIT_FACT = (
     + _audit_fact("sub_max", "subaccount_id", "SUB", "subaccount")
 )
 
+# What held before the series: the value of the last earlier day whose last transaction has one.
+def _opened(series: str, last: str, holder: str, start: str) -> str:
+    opening = f"SELECT {holder}, arg_max(balance, date) AS opening FROM {last} WHERE date < DATE '{start}' AND balance IS NOT NULL GROUP BY {holder}"
+    first = f"SELECT {holder}, min(date) AS first FROM {last} WHERE date >= DATE '{start}' AND balance IS NOT NULL GROUP BY {holder}"
+    return f"""SELECT s.{holder}, s.date, CASE WHEN f.first IS NULL OR s.date < f.first THEN coalesce(o.opening, s.balance)
+  ELSE s.balance END AS balance
+FROM {series} AS s LEFT JOIN ({opening}) AS o ON o.{holder} = s.{holder} LEFT JOIN ({first}) AS f ON f.{holder} = s.{holder}"""
+
+
+CARRIED_PARTS = {
+    **FACT_PARTS,
+    "loan_carried": _opened("loan_series", "loan_last", "loan_id", cat.LOAN_START),
+    "sub_carried": _opened("sub_series", "sub_last", "subaccount_id", cat.DEPOSIT_START),
+}
+FACT_CARRIED = (
+    _fact("loan_carried", "loan_id", "LOAN", "loan") + "\nUNION ALL\n" + _fact("sub_carried", "subaccount_id", "SUB", "subaccount")
+)
+
+ACCOUNT_DAYS = """SELECT account_id, company_id, date, sum(current_balance) AS balance FROM fact
+WHERE account_id IS NOT NULL GROUP BY account_id, company_id, date"""
+MEMBER_DAYS = """SELECT l.member_id, l.company_id, d.date, sum(d.balance) AS balance
+FROM (SELECT DISTINCT member_id, company_id, account_id FROM known WHERE status = 'ACTIVE') AS l
+  JOIN account_days AS d ON d.account_id = l.account_id GROUP BY l.member_id, l.company_id, d.date"""
+
+
+def _summary(owner: str, days: str) -> str:
+    return (
+        f"SELECT {owner}, {CLIENT} AS client_id, company_id, date, CAST(balance AS DECIMAL(28,2)) AS current_balance, {AUDIT} FROM {days}"
+    )
+
+
 COMPANY = f"""SELECT CAST(i.id AS VARCHAR) AS company_id, {CLIENT} AS client_id, c.name, {NO_TEXT} AS config,
        CAST(i.company_id AS VARCHAR) AS parent_company_id, {AUDIT}
 FROM institution AS i LEFT JOIN company AS c ON c.id = i.company_id"""
@@ -267,9 +303,9 @@ def _copy_and_changes() -> dict[str, str]:
         "FROM orders WHERE o_orderdate >= DATE '1997-01-01'",
         "all_versions": "SELECT * FROM versions UNION ALL SELECT * REPLACE (o_totalprice + 100 AS o_totalprice, "
         "o_orderdate - INTERVAL 1 DAY AS o_orderdate) FROM versions WHERE o_orderstatus = 'F'",
+        "keyless": "SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_orderkey) FROM versions WHERE o_orderpriority = '1-URGENT'",
         "changes": "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY o_orderkey ORDER BY {newest}) AS rn FROM all_versions) WHERE rn = 1 "
-        "UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_orderkey) FROM versions WHERE o_orderpriority = '1-URGENT'",
+        f"(PARTITION BY o_orderkey ORDER BY {newest}) AS rn FROM all_versions) WHERE rn = 1 UNION ALL SELECT * FROM keyless",
     }
 
 
@@ -279,8 +315,10 @@ UPSERT = (
     + " FROM copy AS t FULL JOIN changes AS s ON s.o_orderkey = t.o_orderkey"
 )
 INSERT_IF_ABSENT = (
-    "SELECT * FROM copy UNION ALL SELECT * FROM changes AS s "
-    "WHERE NOT EXISTS (SELECT 1 FROM copy AS t WHERE t.o_orderkey = s.o_orderkey)"
+    "SELECT * FROM copy UNION ALL SELECT * FROM keyless UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY o_orderkey ORDER BY o_orderdate, "
+    + ", ".join(f"{c} NULLS FIRST" for c in ORDER_COLUMNS)
+    + ") AS rn FROM all_versions AS s WHERE NOT EXISTS (SELECT 1 FROM copy AS t WHERE t.o_orderkey = s.o_orderkey)) WHERE rn = 1"
 )
 
 # Columns of each dictionary beside id, with the text a reader sees.
@@ -453,7 +491,19 @@ def oracles() -> dict[str, str]:
         "fact_balance_loan": _with(FACT_LOAN, **LOAN_PARTS),
         "fact_balance_sub": _with(FACT_SUB, **DEPOSIT_PARTS),
         "fact_balance_subaccount": _with(FACT, **FACT_PARTS),
+        "fact_refreshed": _with(FACT, **FACT_PARTS),
         "fact_ordered": _with(f"SELECT * FROM ({FACT}) ORDER BY subaccount_id, date", **FACT_PARTS),
+        "fact_balance_carried": _with(FACT_CARRIED, **CARRIED_PARTS),
+        "fact_balance_account": _with(_summary("account_id", "account_days"), **FACT_PARTS, fact=FACT, account_days=ACCOUNT_DAYS),
+        "fact_balance_member": _with(
+            _summary("member_id", "member_days"),
+            **FACT_PARTS,
+            **BRIDGE_PARTS,
+            fact=FACT,
+            known=BRIDGE_KNOWN,
+            account_days=ACCOUNT_DAYS,
+            member_days=MEMBER_DAYS,
+        ),
         "audit_company": _with(AUDIT_COMPANY),
         "audit_member": _with(AUDIT_MEMBER),
         "audit_account": _with(AUDIT_ACCOUNT),

@@ -2,8 +2,8 @@
 
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run
 from daybook.plans.facts import Span
-from daybook.plans.targets import TARGETS, Target, conform
-from daybook.plans.warehouse import audit_constraints, build_warehouse, violations
+from daybook.plans.targets import SUMMARIES, TARGETS, Target, conform
+from daybook.plans.warehouse import audit_constraints, build_warehouse, interval_violations, violations
 
 __all__ = [
     "DEPOSITS",
@@ -11,10 +11,12 @@ __all__ = [
     "Ledger",
     "Run",
     "Span",
+    "SUMMARIES",
     "TARGETS",
     "Target",
     "audit_constraints",
     "build_warehouse",
     "conform",
+    "interval_violations",
     "violations",
 ]

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import lifecycle_status, prefixed_key
-from daybook.operators.reconcile import reconcile
+from daybook.operators.reconcile import reconcile, reconcile_steps
+from daybook.operators.steps import as_steps
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables
-from daybook.plans.facts import Span, build_balance
-from daybook.plans.targets import TARGETS
+from daybook.plans.facts import Span, ledger_intervals
 
 
 def audit_company(tables: Tables, run: Run) -> DataFrame:
@@ -135,13 +135,55 @@ def audit_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> Data
     return days.orderBy(F.col("subaccount_id").asc_nulls_last(), F.col("date").asc_nulls_last())
 
 
-def reconcile_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
-    """Builder balances against audit balances, by the fact's key."""
-    expected = _audit_days(tables, run, loans, deposits).withColumns(
-        {"company_id": F.col("company_id").cast("string"), "current_balance": F.col("balance").cast("decimal(18,2)")}
+def _audit_steps(tables: Tables, ledger: Ledger, span: Span) -> DataFrame:
+    """The audited series of every holder as steps, by windows of its own over last-of-day values.
+
+    On a day with an amount that amount holds, after it the largest so far, before the first one nothing.
+    """
+    txns = tables[ledger.txns].select(
+        F.col(ledger.txn_holder).alias("holder"), "date", "created_at", "seq", F.col("balance").cast("double").alias("amount")
+    )
+    newest = [F.col(c).desc_nulls_last() for c in ("created_at", "seq", "amount")]
+    nth = F.row_number().over(Window.partitionBy("holder", "date").orderBy(*newest))
+    in_span = F.col("date").between(F.lit(span.start), F.lit(span.end)) & F.col("holder").isNotNull()
+    last = txns.filter(in_span).withColumn("nth", nth).filter("nth = 1 AND amount IS NOT NULL")
+    by_day = Window.partitionBy("holder").orderBy("date")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = last.select(
+        "holder",
+        "date",
+        "amount",
+        F.max("amount").over(so_far).alias("top"),
+        F.coalesce(F.date_sub(F.lead("date").over(by_day), 1), F.lit(span.end)).alias("until"),
+        F.row_number().over(by_day).alias("nth"),
     )
-    key = TARGETS["fact_balance_subaccount"].key
-    return reconcile(build_balance(tables, run, loans, deposits), expected, key, ["current_balance"])
+    on_day = held.select("holder", F.col("date").alias("first_day"), F.col("date").alias("last_day"), F.col("amount").alias("held"))
+    after = held.select("holder", F.date_add("date", 1).alias("first_day"), F.col("until").alias("last_day"), F.col("top").alias("held"))
+    firsts = held.filter("nth = 1").select(F.col("holder").alias("known"), "date")
+    holders = txns.select("holder").distinct().join(firsts, F.col("holder") == F.col("known"), "left")
+    until = F.coalesce(F.date_sub("date", 1), F.lit(span.end))
+    before = holders.select("holder", F.lit(span.start).alias("first_day"), until.alias("last_day"), F.lit(0.0).alias("held"))
+    return on_day.unionByName(after).unionByName(before).filter("first_day <= last_day")
+
+
+def reconcile_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
+    """Builder balances against audit balances, by the fact's key, in days.
+
+    The client is the same on both sides and prefixes are one to one, so source ids stand for the key until the end.
+    """
+    actual, expected = [], []
+    for ledger, span in ((LOANS, loans), (DEPOSITS, deposits)):
+        kind = F.lit(ledger.prefix).alias("kind")
+        key = ("holder", "account_id", "institution_id")
+        built = as_steps(ledger_intervals(tables, ledger, span))
+        actual.append(built.select(kind, *key, "first_day", "last_day", "balance"))
+        steps, holder = _audit_steps(tables, ledger, span).alias("s"), tables[ledger.holders].alias("h")
+        placed = steps.join(holder, F.col("s.holder") == F.col("h.id"), "left")
+        placed = placed.join(tables["account"].alias("a"), F.col("h.account_id") == F.col("a.id"), "left")
+        amount = F.col("s.held").cast("decimal(18,2)").alias("balance")
+        expected.append(placed.select(kind, "s.holder", "h.account_id", "a.institution_id", "s.first_day", "s.last_day", amount))
+    sides = (rows[0].unionByName(rows[1]) for rows in (actual, expected))
+    return reconcile_steps(*sides, ["kind", "holder", "account_id", "institution_id"], "balance", "current_balance")
 
 
 def reconcile_warehouse(tables: Tables, built: Tables, run: Run) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import money, prefixed_key
-from daybook.operators.balances import carry_last, daily_intervals, days_in_order, expand_days, posted
+from daybook.operators.balances import daily_intervals, days_in_order, expand_days, posted
 from daybook.plans.dimensions import DEPOSITS, LOANS, Ledger, Run, Tables, placed_accounts
 from daybook.plans.targets import TARGETS, conform
 
+INTERVAL = ("first_day", "value_day", "last_day", "balance", "carried")
+
 
 @dataclass(frozen=True)
 class Span:
@@ -39,32 +41,39 @@ def unparsed_balances(tables: Tables, ledger: Ledger) -> DataFrame:
     )
 
 
-def placed_intervals(tables: Tables, ledger: Ledger, txns: DataFrame, span: Span, carry=carry_last) -> DataFrame:
-    """Balance intervals with the holder's account and institution.
+def ledger_span(tables: Tables, ledger: Ledger, start: date) -> Span:
+    """From ``start`` to the last day that any transaction of the ledger has; one day where there is none later."""
+    last = tables[ledger.txns].agg(F.max(F.to_date("date")).alias("day")).first().day
+    return Span(start, max(start, last or start))
+
+
+def placed_intervals(tables: Tables, ledger: Ledger, txns: DataFrame, span: Span, carry_in: bool = False) -> DataFrame:
+    """Balance intervals with the holder's account and institution, as ``holder, account_id, institution_id`` of the source.
 
     Holders find their account before they meet the intervals, which arrive partitioned and sorted by
     holder: only the holders move, and days are spelled out after the last join.
     """
     holders = tables[ledger.holders].select(F.col("id").alias("__holder"), "account_id")
     placed = holders.join(placed_accounts(tables), "account_id", "left")
-    intervals = daily_intervals(txns, ledger.txn_holder, span.start, span.end, carry=carry)
+    intervals = daily_intervals(txns, ledger.txn_holder, span.start, span.end, carry_in=carry_in)
     return intervals.join(placed, F.col(ledger.txn_holder) == F.col("__holder"), "left").select(
-        prefixed_key(ledger.prefix, ledger.txn_holder).alias("subaccount_id"),
+        F.col(ledger.txn_holder).alias("holder"), "account_id", "institution_id", *INTERVAL
+    )
+
+
+def named_intervals(placed: DataFrame, ledger: Ledger) -> DataFrame:
+    """Placed intervals under the fact's keys."""
+    return placed.select(
+        prefixed_key(ledger.prefix, "holder").alias("subaccount_id"),
         prefixed_key("INT", "account_id").alias("account_id"),
-        F.col("institution_id").alias("company_id"),
-        "first_day", "value_day", "last_day", "balance", "carried",
+        F.col("institution_id").cast("string").alias("company_id"),
+        *INTERVAL,
     )
 
 
 def fact_rows(intervals: DataFrame, run: Run) -> DataFrame:
-    """Fact rows of placed intervals, in the order of the intervals."""
-    placed = intervals.select(
-        "subaccount_id",
-        "account_id",
-        F.col("company_id").cast("string").alias("company_id"),
-        *("first_day", "value_day", "last_day", "balance", "carried"),
-    )
-    return _fact_days(expand_days(placed), run)
+    """Fact rows of named intervals, in the order of the intervals."""
+    return _fact_days(expand_days(intervals), run)
 
 
 def _fact_days(days: DataFrame, run: Run) -> DataFrame:
@@ -79,18 +88,26 @@ def _fact_days(days: DataFrame, run: Run) -> DataFrame:
     return conform(rows, TARGETS["fact_balance_subaccount"], run.run_ts)
 
 
-def ledger_intervals(tables: Tables, ledger: Ledger, span: Span) -> DataFrame:
-    return placed_intervals(tables, ledger, ledger_txns(tables, ledger), span)
+def ledger_intervals(tables: Tables, ledger: Ledger, span: Span, carry_in: bool = False) -> DataFrame:
+    """A ledger's placed intervals."""
+    return placed_intervals(tables, ledger, ledger_txns(tables, ledger), span, carry_in)
 
 
-def build_balance_of(tables: Tables, run: Run, ledger: Ledger, span: Span) -> DataFrame:
-    """Daily balances of one ledger."""
-    return fact_rows(ledger_intervals(tables, ledger, span), run)
+def fact_intervals(tables: Tables, ledger: Ledger, span: Span, carry_in: bool = False) -> DataFrame:
+    """The fact of one ledger as intervals."""
+    return named_intervals(ledger_intervals(tables, ledger, span, carry_in), ledger)
 
 
-def build_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
+def build_balance_of(tables: Tables, run: Run, ledger: Ledger, span: Span, carry_in: bool = False) -> DataFrame:
+    """Daily balances of one ledger; with ``carry_in`` a series opens with the balance of the day before it."""
+    return fact_rows(fact_intervals(tables, ledger, span, carry_in), run)
+
+
+def build_balance(tables: Tables, run: Run, loans: Span, deposits: Span, carry_in: bool = False) -> DataFrame:
     """Daily balances of loans and deposits."""
-    return build_balance_of(tables, run, LOANS, loans).unionByName(build_balance_of(tables, run, DEPOSITS, deposits))
+    return build_balance_of(tables, run, LOANS, loans, carry_in).unionByName(
+        build_balance_of(tables, run, DEPOSITS, deposits, carry_in)
+    )
 
 
 def build_ordered_balance(tables: Tables, run: Run, loans: Span, deposits: Span) -> DataFrame:
@@ -98,9 +115,8 @@ def build_ordered_balance(tables: Tables, run: Run, loans: Span, deposits: Span)
 
     The range shuffle moves intervals, one row per transaction day instead of one per day.
     """
-    intervals = ledger_intervals(tables, LOANS, loans).unionByName(ledger_intervals(tables, DEPOSITS, deposits))
-    text = intervals.withColumn("company_id", F.col("company_id").cast("string"))
-    return _fact_days(days_in_order(text, "subaccount_id"), run)
+    intervals = fact_intervals(tables, LOANS, loans).unionByName(fact_intervals(tables, DEPOSITS, deposits))
+    return _fact_days(days_in_order(intervals, "subaccount_id"), run)
 
 
 def empty_transactions(spark: SparkSession) -> DataFrame:

@@ -138,6 +138,26 @@ TARGETS: dict[str, Target] = {
     )
 }
 
+# Sums over other tables' rows. A sum of amounts may need more digits than an amount.
+SUM = T.DecimalType(28, 2)
+SUMMARIES: dict[str, Target] = {
+    t.name: t
+    for t in (
+        Target(
+            "fact_balance_account",
+            {"account_id": TEXT, "client_id": INT, "company_id": TEXT, "date": DAY, "current_balance": SUM, **AUDIT},
+            key=("account_id", "client_id", "company_id", "date"),
+            references=(TO_CLIENT, TO_COMPANY, TO_ACCOUNT),
+        ),
+        Target(
+            "fact_balance_member",
+            {"member_id": TEXT, "client_id": INT, "company_id": TEXT, "date": DAY, "current_balance": SUM, **AUDIT},
+            key=("member_id", "client_id", "company_id", "date"),
+            references=(TO_CLIENT, TO_COMPANY, TO_MEMBER),
+        ),
+    )
+}
+
 
 def conform(df: DataFrame, target: Target, run_ts: datetime | None = None) -> DataFrame:
     """Fit a frame to a target's columns, in order and type.

@@ -19,8 +19,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that nothing else uses."""
+    return f"{shared_folder(spark)}/daybook/{uuid.uuid4().hex}-{name}"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again: what follows neither recomputes nor depends on it."""
-    path = f"{shared_folder(df.sparkSession)}/daybook/{uuid.uuid4().hex}-{name}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,8 @@
 """Copies of source tables, kept up to date by key.
 
-A copy lies in buckets of its key's hash. An update reads and writes only the buckets that its rows fall in; the commit
-names, for each bucket, the attempt that wrote it last.
+A copy lies in buckets of its key's hash (see :mod:`daybook.sinks.buckets`). An update reads and writes only the buckets
+that its rows fall in, and splits those that outgrow their target; the commit names, for each bucket, the attempt that
+wrote it last.
 """
 
 from __future__ import annotations
@@ -9,23 +10,18 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.upsert import fitted, latest_version, split_null_keys, upsert
-from daybook.sinks.versions import (
-    attempt_path,
-    commit_version,
-    latest_commit,
-    new_attempt,
-    refuse_committed,
-    write_version,
-)
+from daybook.sinks.buckets import BUCKET, Directory, rows_per_bucket, write_buckets, written_sizes
+from daybook.sinks.versions import attempt_path, commit_version, latest_commit, new_attempt, refuse_committed
 
 REPORT = "table_name string, action string, error string"
-BUCKETS = 64
-_BUCKET = "__bucket"
+#: Bytes that a bucket may have before it splits: what one task reads, merges and writes.
+BUCKET_BYTES = 256 << 20
+_STATE = "__state"
 
 
 class CopiesFailed(Exception):
@@ -36,11 +32,6 @@ class CopiesFailed(Exception):
         super().__init__("; ".join(f"{name}: {error}" for name, _, error in report if error))
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    # As text, so that a key keeps its bucket when its type is widened.
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-
-
 def read_copy(spark: SparkSession, root: str) -> DataFrame:
     """The copy as of its latest commit."""
     last = latest_commit(spark, root)
@@ -49,12 +40,38 @@ def read_copy(spark: SparkSession, root: str) -> DataFrame:
     return _read_buckets(spark, root, last, sorted(last.parts))
 
 
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """The rows without a key of all committed versions, with the columns of the latest."""
+    last = latest_commit(spark, root)
+    if last is None:
+        raise FileNotFoundError(f"nothing committed under {root}")
+    layout = json.loads(last.layout)
+    schema = T.StructType.fromJson(layout["schema"])
+    paths = [f"{attempt_path(root, a)}/batch/{_STATE}=rejected" for a in layout["rejected"]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def _read_buckets(spark: SparkSession, root: str, commit: Row, buckets: Sequence[int]) -> DataFrame:
-    schema = T.StructType.fromJson(json.loads(commit.layout))
-    paths = [f"{attempt_path(root, commit.parts[b])}/{_BUCKET}={b}" for b in buckets]
+    schema = T.StructType.fromJson(json.loads(commit.layout)["schema"])
+    paths = [f"{attempt_path(root, commit.parts[b])}/rows/{BUCKET}={b}" for b in buckets]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def _staged_batch(source: DataFrame, path: str, key: str, order: Sequence[str]) -> DataFrame:
+    """The batch, evaluated and written once: a row a key, and apart from those the rows without one."""
+    spark = source.sparkSession
+    state = F.when(F.col(key).isNull(), "rejected").otherwise("accepted")
+    source.withColumn(_STATE, state).write.mode("errorifexists").option("compression", "zstd").partitionBy(_STATE).parquet(path)
+    # As written, with or without rows of either kind.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in source.schema])
+    written = spark.read.schema(T.StructType([*schema, T.StructField(_STATE, T.StringType())])).parquet(path)
+    keyed = written.filter(F.col(_STATE) == "accepted").drop(_STATE)
+    if order:
+        return latest_version(keyed, key, order)
+    _require_one_row_per_key(keyed, key)
+    return keyed
+
+
 def upsert_copy(
     spark: SparkSession,
     source: DataFrame,
@@ -63,45 +80,52 @@ def upsert_copy(
     key: str = "id",
     order: Sequence[str] = (),
     new_columns: str = "fail",
-    buckets: int = BUCKETS,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> str:
     """Bring the copy under ``root`` up to date with ``source``, under a label not used before; returns what was done.
 
-    The first call creates the copy and fixes its number of buckets. Rows with a null key cannot be placed by later
-    calls either: they are kept apart, under ``<root>/rejected``. ``order`` names the columns that tell the newest
-    of several source rows of a key; without it the source must hold each key once. ``new_columns`` says what
-    a column means that the copy lacks (see :func:`daybook.operators.upsert.fitted`).
+    Rows with a null key cannot be placed by later calls either: they are kept apart, in the version's own folder (see
+    :func:`read_rejected`). ``order`` names the columns that tell the newest of several source rows of a key; without it
+    the source must hold each key once. ``new_columns`` says what a column means that the copy lacks (see
+    :func:`daybook.operators.upsert.fitted`). A bucket that would hold more than ``bucket_bytes`` splits as it is written; the
+    others stay, and keep their files unless the batch has rows for them.
     """
     refuse_committed(spark, root, version)
-    keyed, rejected = split_null_keys(source, key)
-    if order:
-        keyed = latest_version(keyed, key, order)
-    else:
-        _require_one_row_per_key(keyed, key)
+    attempt = new_attempt(version)
+    path = attempt_path(root, attempt)
     last = latest_commit(spark, root)
+    if last:  # before anything is written
+        fitted(_read_buckets(spark, root, last, []), source, new_columns)
+    batch = _staged_batch(source, f"{path}/batch", key, order)
+    staged = written_sizes(spark, f"{path}/batch", _STATE)
+    batch_bytes = staged.get("accepted", 0)
     parts = dict(last.parts) if last else {}
+    rejected = json.loads(last.layout)["rejected"] if last else []
     if last:
-        buckets = json.loads(last.layout)["buckets"]
-        # One small row a bucket.
-        touched = sorted(r.b for r in keyed.select(bucket_of(key, buckets).alias("b")).distinct().collect())
-        old = _read_buckets(spark, root, last, [b for b in touched if b in parts])
-        wide, _ = fitted(old, keyed, new_columns)
-        merged = upsert(old, keyed, key, new_columns)
-        schema = wide.schema
+        known = Directory({int(b): size for b, size in json.loads(last.layout)["sizes"].items()})
     else:
-        merged, schema = keyed, keyed.schema
-    attempt = new_attempt(version)
-    laid_out = merged.withColumn(_BUCKET, bucket_of(key, buckets))
-    writer = laid_out.repartition(_BUCKET).write.mode("errorifexists").option("compression", "zstd")
-    writer.partitionBy(_BUCKET).parquet(attempt_path(root, attempt))
+        known = Directory.of_bytes(batch_bytes, bucket_bytes)
+    counts = rows_per_bucket(batch, known, (key,))
+    share = batch_bytes / max(1, sum(counts.values()))
+    # At the bytes of rows of the batch, as if all of them were new.
+    directory = known.split({b: known.sizes[b] + round(n * share) for b, n in counts.items()} if last else {}, bucket_bytes)
     if last:
-        written = touched
+        old = _read_buckets(spark, root, last, sorted(b for b in counts if b in parts))
+        schema = fitted(old, batch, new_columns)[0].schema
+        merged = upsert(old, batch, key, new_columns)
     else:
-        written = [r.b for r in keyed.select(bucket_of(key, buckets).alias("b")).distinct().collect()]
-    write_version(rejected, f"{root.rstrip('/')}/rejected", version)
+        merged, schema = batch, batch.schema
+    written = sorted(b for touched in counts for b in directory.below(touched))
+    write_buckets(merged, directory, (key,), written, f"{path}/rows")
+    found = {int(b): size for b, size in written_sizes(spark, f"{path}/rows").items()}
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-    layout = json.dumps({**nullable.jsonValue(), "buckets": buckets})
-    commit_version(spark, root, version, attempt, parts | dict.fromkeys(written, attempt), layout)
+    layout = {
+        "schema": nullable.jsonValue(),
+        "sizes": dict(directory.measured(written, found).sizes),
+        "rejected": rejected + [attempt] * ("rejected" in staged),
+    }
+    parts = {b: a for b, a in parts.items() if b not in counts} | dict.fromkeys(found, attempt)
+    commit_version(spark, root, version, attempt, parts, json.dumps(layout))
     return "merged" if last else "created"
 
 

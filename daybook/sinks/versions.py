@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-# parts: for data in buckets, the attempt that wrote each bucket; layout: the data's schema as JSON.
+# parts: for data in buckets, the attempt that wrote each bucket; layout: schema and sizes as JSON.
 _COMMIT = "seq bigint, version string, attempt string, parts map<int,string>, layout string"
 
 

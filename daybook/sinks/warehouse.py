@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from daybook.operators.balances import in_range_order, split_months
 from daybook.operators.constraints import missing_columns
 from daybook.plans import dimensions as dims
-from daybook.plans import facts
+from daybook.plans import facts, summaries
 from daybook.plans.dimensions import DEPOSITS, LOANS, Run, Tables
 from daybook.plans.facts import Span
-from daybook.plans.targets import TARGETS
+from daybook.plans.targets import SUMMARIES, TARGETS, Target
 from daybook.plans.warehouse import audit_constraints
 from daybook.sinks.versions import attempt_path, commit_version, current_path, new_attempt, refuse_committed
 from daybook.sources import SOURCE_SCHEMAS, TableSet
@@ -48,8 +48,8 @@ def load_warehouse(
     Source tables that do not fit their declared ``schemas`` are refused; None takes them as they are.
     Rows that leave a required column empty are staged apart and not published; so are transactions whose balance is
     no amount, as the fact shows the balance before them. The fact's
-    intervals are staged before they are spelled out, so neither the audit nor the expansion runs the
-    transactions again, and a lost executor costs no more than the running step.
+    intervals are staged before they are spelled out, so neither the audit, which never sees a day, nor the expansion, nor
+    the balances of accounts and members run the transactions again, and a lost executor costs no more than the running step.
     """
     refuse_committed(spark, root, version)
     if schemas is not None:
@@ -68,17 +68,19 @@ def load_warehouse(
     }
     for name, df in built.items():
         _stage(df, TARGETS[name].not_null, f"{staging}/{name}")
-    intervals = facts.ledger_intervals(tables, LOANS, loans).unionByName(
-        facts.ledger_intervals(tables, DEPOSITS, deposits)
+    intervals = facts.fact_intervals(tables, LOANS, loans).unionByName(
+        facts.fact_intervals(tables, DEPOSITS, deposits)
     )
     typed = intervals.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in INTERVALS))
     _stage(typed, ("subaccount_id", "account_id", "company_id"), f"{staging}/intervals")
     unparsed = facts.unparsed_balances(tables, LOANS).unionByName(facts.unparsed_balances(tables, DEPOSITS))
     unparsed.write.parquet(f"{staging}/{UNPARSED}")
     _write_fact(spark, run, staging)
+    _write_summaries(spark, run, staging)
 
-    staged = {name: read_staged(spark, staging, name) for name in TARGETS}
-    broken = audit_constraints(staged).filter(F.col("broken") > 0)
+    staged = {name: read_staged(spark, staging, name) for name in TARGETS if name != FACT}
+    keyed = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted").withColumn("client_id", F.lit(run.client_id))
+    broken = audit_constraints(staged, {FACT: keyed}).filter(F.col("broken") > 0)
     findings = [" ".join(map(str, row)) for row in broken.collect()]  # at most one row per declared constraint
     if findings:
         raise BrokenConstraints("; ".join(findings))
@@ -91,15 +93,25 @@ def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_staged(spark, published, name) for name in TARGETS}
 
 
+def read_summaries(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The published daily balances of accounts and members."""
+    published = current_path(spark, root)
+    return {name: _read_months(spark, target, f"{published}/{name}") for name, target in SUMMARIES.items()}
+
+
 def read_staged(spark: SparkSession, staging: str, name: str) -> DataFrame:
     """The rows of a staged table that are, or would be, published."""
     target = TARGETS[name]
     if name == FACT:
-        laid_out = T.StructType([*target.schema, T.StructField("month", T.DateType())])
-        return spark.read.schema(laid_out).parquet(f"{staging}/{name}").drop("month")
+        return _read_months(spark, target, f"{staging}/{name}")
     return _read_state(spark, target.schema, f"{staging}/{name}", "accepted").drop("missing")
 
 
+def _read_months(spark: SparkSession, target: Target, path: str) -> DataFrame:
+    laid_out = T.StructType([*target.schema, T.StructField("month", T.DateType())])
+    return spark.read.schema(laid_out).parquet(path).drop("month")
+
+
 def read_rejects(spark: SparkSession, staging: str, name: str) -> DataFrame:
     """Rows of a staged dimension or bridge left out of it, with the names of their empty columns."""
     return _read_state(spark, TARGETS[name].schema, f"{staging}/{name}", "rejected")
@@ -136,5 +148,19 @@ def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
     """
     accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
     laid_out = in_range_order(split_months(accepted), "month", "subaccount_id", "first_day")
-    fact = facts.fact_rows(laid_out, run).withColumn("month", F.trunc("date", "month"))
-    fact.write.mode("errorifexists").option("compression", "zstd").partitionBy("month").parquet(f"{staging}/{FACT}")
+    _write_months(facts.fact_rows(laid_out, run), f"{staging}/{FACT}")
+
+
+def _write_summaries(spark: SparkSession, run: Run, staging: str) -> None:
+    """Account and member balances, laid out like the fact, from its staged intervals and the staged bridge."""
+    accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
+    bridge = read_staged(spark, staging, "bridge_member_account")
+    for name, target in SUMMARIES.items():
+        intervals = summaries.summary_intervals(name, accepted, bridge)
+        laid_out = in_range_order(split_months(intervals), "month", target.key[0], "first_day").drop("month")
+        _write_months(summaries.summary_rows(name, laid_out, run), f"{staging}/{name}")
+
+
+def _write_months(days: DataFrame, path: str) -> None:
+    months = days.withColumn("month", F.trunc("date", "month"))
+    months.write.mode("errorifexists").option("compression", "zstd").partitionBy("month").parquet(path)

@@ -21,14 +21,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Include:
-    """Take the tables whose name fits ``pattern``, keeping rows where ``null_columns`` are null."""
+    """Take the tables whose schema and name fit, keeping rows where ``null_columns`` are null.
+
+    ``%`` stands for any text in either; case does not matter.
+    """
 
     pattern: str
     null_columns: tuple[str, ...] = ()
+    schema: str = "%"
 
-    def fits(self, table: str) -> bool:
-        pattern = ".*".join(re.escape(piece) for piece in self.pattern.split("%"))
-        return re.fullmatch(pattern, table, re.IGNORECASE) is not None
+    def fits(self, table: str, schema: str = "public") -> bool:
+        return _like(self.pattern, table) and _like(self.schema, schema)
 
     def keep(self, df: DataFrame) -> DataFrame:
         for column in self.null_columns:
@@ -36,6 +39,10 @@ class Include:
         return df
 
 
+def _like(pattern: str, name: str) -> bool:
+    return re.fullmatch(".*".join(re.escape(piece) for piece in pattern.split("%")), name, re.IGNORECASE) is not None
+
+
 def parse_rules(document: str) -> list[Include]:
     """Read a rule document; anything but an include with null filters is refused."""
     return [_include(rule) for rule in json.loads(document)["rules"]]
@@ -50,20 +57,21 @@ def _include(rule: dict) -> Include:
         if row_filter["filter-type"] != "source" or operators != ["null"]:
             raise ValueError(f"only null filters on the source are known: {row_filter}")
         null_columns.append(row_filter["column-name"])
-    return Include(rule["object-locator"]["table-name"], tuple(null_columns))
+    locator = rule["object-locator"]
+    return Include(locator["table-name"], tuple(null_columns), locator["schema-name"])
 
 
-def apply_rules(tables: Mapping[str, DataFrame], rules: list[Include]) -> dict[str, DataFrame]:
-    """The selected tables with their row filters.
+def apply_rules(tables: Mapping[str, DataFrame], rules: list[Include], schema: str = "public") -> dict[str, DataFrame]:
+    """The selected tables with their row filters; ``schema`` is the one that ``tables`` were read from.
 
     A table named by several rules is filtered by each. A rule without wildcard must find its table.
     """
     selected: dict[str, DataFrame] = {}
     available = list(tables)
     for rule in rules:
-        hits = [name for name in available if rule.fits(name)]
-        if not hits and "%" not in rule.pattern:
-            raise KeyError(f"no source table named {rule.pattern}")
+        hits = [name for name in available if rule.fits(name, schema)]
+        if not hits and "%" not in rule.pattern + rule.schema:
+            raise KeyError(f"no source table named {rule.schema}.{rule.pattern}")
         for name in hits:
             selected[name] = rule.keep(selected.get(name, tables[name]))
     return selected

@@ -89,6 +89,25 @@ def test_upsert_and_insert_equal_dict_updates(spark, target, source):
     assert dict(rows(ops.insert_if_absent(old, new))) == {**source, **target}
 
 
+def test_insert_takes_one_row_of_a_repeated_new_key(spark):
+    schema = "id int, at int, v string"
+    target = frame(spark, [(1, 0, "old"), (None, 0, "n")], schema)
+    batch = [(1, 0, "x"), (2, 2, "late"), (2, 1, "b"), (2, 1, "a"), (2, None, "undated"), (3, None, None), (None, 1, "k"), (None, 1, "k")]
+    result = ops.insert_if_absent(target, frame(spark, batch, schema), order=["at"])
+    assert rows(result) == rows(
+        frame(spark, [(1, 0, "old"), (2, 1, "a"), (3, None, None), (None, 0, "n"), (None, 1, "k"), (None, 1, "k")], schema)
+    )
+    assert ops.insert_if_absent(target, frame(spark, [(2, 1, "a"), (2, 1, "a")], schema)).count() == 3
+
+
+def test_insert_reads_each_side_once(spark, tmp_path):
+    for name in ("target", "batch"):
+        frame(spark, [(1, "a")]).write.parquet(str(tmp_path / name))
+    target, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "batch"))
+    plan = physical_plan(ops.insert_if_absent(target, batch))
+    assert plan.count("FileScan") == 2
+
+
 def test_latest_version(spark):
     changes = frame(spark, [(1, 1, "a"), (1, 2, None), (2, None, "old"), (2, 0, "new")], "id int, at int, v string")
     assert rows(ops.latest_version(changes, "id", ["at"])) == [(1, 2, None), (2, 0, "new")]

@@ -141,3 +141,17 @@ def test_inventory(spark, tmp_path):
     summary = inventory_summary(inventory(spark, f"file://{tmp_path}", "a/"), "here", "a/")
     assert rows(summary) == [("here", "a/", 2, 8)]
     assert rows(inventory_summary(inventory(spark, str(tmp_path), "gone/"), "here", "gone/")) == [("here", "gone/", 0, 0)]
+
+
+def test_rules_of_another_schema_select_nothing(spark):
+    tables = {"orders": spark.range(1)}
+
+    def rule(schema, table):
+        locator = {"schema-name": schema, "table-name": table}
+        return json.dumps({"rules": [{"rule-type": "selection", "rule-action": "include", "object-locator": locator}]})
+
+    assert apply_rules(tables, parse_rules(rule("nope", "%"))) == {}
+    assert list(apply_rules(tables, parse_rules(rule("nope", "%")), schema="nope")) == ["orders"]
+    assert list(apply_rules(tables, parse_rules(rule("pub%", "ord%")))) == ["orders"]
+    with pytest.raises(KeyError, match="nope.orders"):
+        apply_rules(tables, parse_rules(rule("nope", "orders")))

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from daybook import operators as ops
 from daybook import sinks
-from daybook.catalogue import DEPOSIT_SPAN, LOAN_SPAN, RUN
+from daybook.catalogue import RUN, spans
 from daybook.plans import TARGETS, Run, Span, audit_constraints, build_warehouse
 from daybook.plans import dimensions as dims
 from daybook.plans import facts
 from daybook.plans.audit import reconcile_balance, reconcile_warehouse
 from daybook.sources import Include, TableSet, bank_tables
-from daybook.sinks.versions import attempt_path, current_path, latest_commit
+from daybook.sinks.buckets import Directory
+from daybook.sinks.versions import current_path, latest_commit
 from daybook.sinks.warehouse import read_rejected_intervals, read_rejects, read_unparsed_balances
 from daybook.streaming import replicate, selected
 
@@ -263,9 +264,9 @@ def test_a_failed_or_repeated_load_leaves_readers_where_they_are(spark, bank, tm
 def test_published_fact_equals_the_query_on_the_data(spark, data, tmp_path):
     tables = bank_tables(spark, data)
     root = str(tmp_path / "warehouse")
-    sinks.load_warehouse(spark, tables, RUN, LOAN_SPAN, DEPOSIT_SPAN, root, "v1")
+    sinks.load_warehouse(spark, tables, RUN, *spans(tables), root, "v1")
     published = sinks.read_warehouse(spark, root)["fact_balance_subaccount"]
-    built = facts.build_balance(tables, RUN, LOAN_SPAN, DEPOSIT_SPAN).filter("company_id is not null")
+    built = facts.build_balance(tables, RUN, *spans(tables)).filter("company_id is not null")
     assert published.count() == built.count() and published.exceptAll(built).isEmpty()
 
 
@@ -283,8 +284,7 @@ def test_copies_are_created_then_merged_and_failures_stay_apart(spark, tmp_path)
     report = sinks.copy_tables(spark, {"good": change}, lake, "v2", orders={"good": ["v"]})
     assert [(r.action, r.error) for r in report.collect()] == [("merged", None)]
     assert rows(sinks.read_copy(spark, f"{lake}/good")) == [(1, "a"), (2, None), (3, "c")]
-    rejected = spark.read.parquet(attempt_path(f"{lake}/good/rejected", "v1-*"))
-    assert rows(rejected) == [(None, "n")]
+    assert rows(sinks.read_rejected(spark, f"{lake}/good")) == [(None, "n")]
 
 
 def test_a_used_label_is_refused_instead_of_losing_rows(spark, tmp_path):
@@ -295,24 +295,104 @@ def test_a_used_label_is_refused_instead_of_losing_rows(spark, tmp_path):
     assert rows(sinks.read_copy(spark, root)) == [(1, "a")]
 
 
+def bucket_files(spark, root):
+    """Files of each bucket of the copy, as its latest commit names them."""
+    found = {}
+    for f in sinks.read_copy(spark, root).inputFiles():
+        found.setdefault(int(f.split("__bucket=")[1].split("/")[0]), set()).add(f)
+    return found
+
+
+def sizes(spark, root):
+    return {int(b): size for b, size in json.loads(latest_commit(spark, root).layout)["sizes"].items()}
+
+
+def test_buckets_cover_every_hash_once(spark):
+    directory = Directory.of_bytes(1000, 300)
+    assert sorted(directory.sizes) == [4, 5, 6, 7]
+    split = directory.split({5: 301, 6: 300, 7: 2000}, 300)
+    assert sorted(split.sizes) == [4, 6, 9, 13] + [b for b in range(32, 64) if b % 4 == 3]
+    assert split.below(7) == [b for b in range(32, 64) if b % 4 == 3] and split.below(4) == [4]
+    keys = spark.range(2000).select("id", directory.bucket("id").alias("old"), split.bucket("id").alias("new"))
+    for r in keys.collect():
+        assert r.new in split.below(r.old)
+    assert {r.new for r in keys.collect()} == set(split.sizes)
+
+
+def test_first_load_makes_as_many_buckets_as_its_bytes_need(spark, tmp_path):
+    rows_ = spark.range(5000).selectExpr("id", "sha2(cast(id as string), 256) as v")
+    small, large = (str(tmp_path / name) for name in ("small", "large"))
+    sinks.upsert_copy(spark, rows_, small, "v1", bucket_bytes=64 << 10)
+    sinks.upsert_copy(spark, rows_, large, "v1")
+    assert len(bucket_files(spark, large)) == 1 and len(bucket_files(spark, small)) >= 4
+    assert all(len(files) == 1 for files in bucket_files(spark, small).values())
+    assert max(sizes(spark, small).values()) < 2 * (64 << 10) and sum(sizes(spark, small).values()) > 100_000
+    assert rows(sinks.read_copy(spark, small)) == rows(sinks.read_copy(spark, large)) == rows(rows_)
+
+
 def test_updates_write_only_the_buckets_they_touch(spark, tmp_path):
     root = str(tmp_path / "t")
-    sinks.upsert_copy(spark, spark.range(200).selectExpr("id", "'old' as v"), root, "v1", buckets=16)
-    first = latest_commit(spark, root)
-    files = set(sinks.read_copy(spark, root).inputFiles())
-    sinks.upsert_copy(spark, spark.createDataFrame([(5, "new"), (1000, "new")], "id long, v string"), root, "v2")
-    second = latest_commit(spark, root)
-    moved = {b for b in second.parts if second.parts[b] != first.parts.get(b)}
-    assert 1 <= len(moved) <= 2 and len(first.parts) == 16
-    kept = [f for f in files if int(f.split("__bucket=")[1].split("/")[0]) not in moved]
-    assert kept and set(kept) <= set(sinks.read_copy(spark, root).inputFiles())
+    old = spark.range(5000).selectExpr("id", "sha2(cast(id as string), 256) as v")
+    sinks.upsert_copy(spark, old, root, "v1", bucket_bytes=64 << 10)
+    before = bucket_files(spark, root)
+    sinks.upsert_copy(
+        spark, spark.createDataFrame([(5, "new"), (10_000, "new")], "id long, v string"), root, "v2", bucket_bytes=1 << 20
+    )
+    after = bucket_files(spark, root)
+    assert set(after) == set(before) and 1 <= sum(after[b] != before[b] for b in before) <= 2
+    copy = sinks.read_copy(spark, root)
+    assert copy.count() == 5001 and rows(copy.filter("v = 'new'")) == [(10_000, "new"), (5, "new")]
+
+
+def test_only_the_bucket_that_outgrows_its_target_splits(spark, tmp_path):
+    root, target = str(tmp_path / "t"), 96 << 10
+    sinks.upsert_copy(spark, spark.range(5000).selectExpr("id", "sha2(cast(id as string), 256) as v"), root, "v1", bucket_bytes=target)
+    before, known = bucket_files(spark, root), Directory(sizes(spark, root))
+    full = min(before)
+    more = spark.range(5000, 60_000).selectExpr("id", "sha2(cast(id as string), 256) as v").filter(known.bucket("id") == full)
+    added = more.count()
+    sinks.upsert_copy(spark, more, root, "v2", bucket_bytes=target)
+    after = bucket_files(spark, root)
+    new = set(after) - set(before)
+    assert set(before) - set(after) == {full} and len(new) >= 2
+    assert all(after[b] == before[b] for b in before if b != full)
+    assert all(b % (1 << full.bit_length() - 1) == full - (1 << full.bit_length() - 1) for b in new)
+    assert max(sizes(spark, root)[b] for b in new) < 2 * target
     copy = sinks.read_copy(spark, root)
-    assert copy.count() == 201 and rows(copy.filter("v = 'new'")) == [(1000, "new"), (5, "new")]
+    assert copy.count() == 5000 + added == copy.select("id").distinct().count()
+    # The children take later changes like any other bucket.
+    sinks.upsert_copy(spark, more.selectExpr("id", "'x' as v"), root, "v3", bucket_bytes=target)
+    assert sinks.read_copy(spark, root).filter("v = 'x'").count() == added
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for version, ids in (("v1", 40), ("v2", 60)):
+        batch = spark.range(ids).selectExpr("nullif(id, 3) as id", "id as v").mapInArrow(counted, "id long, v long")
+        sinks.upsert_copy(spark, batch, str(tmp_path / "t"), version, order=["v"])
+    assert seen.value == 100 and sinks.read_copy(spark, str(tmp_path / "t")).count() == 59
+    assert rows(sinks.read_rejected(spark, str(tmp_path / "t"))) == [(None, 3), (None, 3)]
+
+
+def test_batches_of_no_rows_or_only_rejects_change_nothing(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "id int, v string"
+    sinks.upsert_copy(spark, spark.createDataFrame([], schema), root, "v1")
+    assert rows(sinks.read_copy(spark, root)) == []
+    sinks.upsert_copy(spark, spark.createDataFrame([(1, "a")], schema), root, "v2")
+    sinks.upsert_copy(spark, spark.createDataFrame([(None, "n")], schema), root, "v3")
+    sinks.upsert_copy(spark, spark.createDataFrame([], schema), root, "v4")
+    assert rows(sinks.read_copy(spark, root)) == [(1, "a")] and rows(sinks.read_rejected(spark, root)) == [(None, "n")]
 
 
 def test_new_columns_fail_or_are_added_and_never_lost(spark, tmp_path):
     root = str(tmp_path / "t")
-    sinks.upsert_copy(spark, spark.createDataFrame([(i, "a") for i in range(40)], "id int, v string"), root, "v1", buckets=8)
+    sinks.upsert_copy(spark, spark.createDataFrame([(i, "a") for i in range(40)], "id int, v string"), root, "v1", bucket_bytes=256)
     wider = spark.createDataFrame([(1, "b", 7)], "id int, v string, extra int")
     with pytest.raises(ValueError, match="no column extra"):
         sinks.upsert_copy(spark, wider, root, "v2")
