@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from daybook.llm.licences import PHRASES, TEMPLATES
-from daybook.llm.linededup import SITES, WORDS
 from daybook.llm.sharding import DIGITS, SHARDS, SLOTS, filled_table, shard_names
 
 WORD_COUNT = r"coalesce(len(regexp_extract_all({}, '[^\x20\x09-\x0D]+')), 0)"
@@ -69,9 +68,12 @@ WITH split AS (
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents
 ), keyed AS (
   SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key,
-    {WORD_COUNT.format("line")} >= {WORDS} AS counts FROM split
+    {WORD_COUNT.format("line")} AS n, n >= 1 AS counts FROM split
+), enough AS (
+  SELECT greatest(2, (count(DISTINCT source) + 4) // 5) AS sites FROM documents
 ), wide AS (
-  SELECT key FROM keyed WHERE counts GROUP BY key HAVING count(DISTINCT source) >= {SITES}
+  SELECT key FROM keyed WHERE counts GROUP BY key
+  HAVING count(DISTINCT source) >= CASE WHEN max(n) > 50 THEN 2 ELSE (SELECT sites FROM enough) END
 ), marked AS (
   SELECT k.*, w.key IS NOT NULL AND row_number() OVER (PARTITION BY k.key, counts ORDER BY doc_id NULLS LAST, place) > 1 AS goes
   FROM keyed k LEFT JOIN wide w ON counts AND k.key = w.key

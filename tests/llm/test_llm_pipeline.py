@@ -36,7 +36,7 @@ def test_quality_takes_whole_rows_away(stages):
 
 def test_lines_go_by_definition(stages):
     before, after = stages["line_dedup"]
-    want = cleaned([(r.doc_id, r.text, r.source) for r in before.collect()], linededup.SITES, linededup.WORDS)
+    want = cleaned([(r.doc_id, r.text, r.source) for r in before.collect()], None, linededup.WORDS)
     assert sorted((r.doc_id, r.text, r.n_chars) for r in after.collect()) == sorted((i, text, len(text)) for i, text, *_ in want)
     assert any(w[3] for w in want)
 

@@ -147,8 +147,9 @@ def test_one_of_each_group_stays_with_all_columns(spark):
 # Lines
 
 
-def cleaned(rows, sites, least):
+def cleaned(rows, sites, least, long=50):
     """By the definition: (doc_id, text) -> text without later copies of wide lines."""
+    sites = max(2, -(-len({s for *_, s in rows} - {None}) // 5)) if sites is None else sites
     spread, first = defaultdict(set), {}
     for i, text, source in rows:
         for place, line in enumerate((text or "").split("\n")):
@@ -162,7 +163,7 @@ def cleaned(rows, sites, least):
         lines = (text or "").split("\n")
         keys = [line.strip(" \t\n\x0b\x0c\r") for line in lines]
         stays = [
-            len(words(line)) < least or len(spread[k]) < sites or first[k] == (i is None, i or 0, place)
+            len(words(line)) < least or len(spread[k]) < (2 if len(words(line)) > long else sites) or first[k] == (i is None, i or 0, place)
             for place, (line, k) in enumerate(zip(lines, keys, strict=True))
         ]
         kept = "\n".join(line for line, s in zip(lines, stays, strict=True) if s)
@@ -188,12 +189,26 @@ def test_short_lines_on_many_sites_go(spark):
     text = "All rights reserved.\n\nHome\nfar and wide {0}\nfew"
     rows = [(i, text.format(i) if i < 7 else text.format(i)[:-4], f"site{i}") for i in range(8)]
     df = documents(spark, rows)
-    got = linededup.cleaned(df).select("row.doc_id", "text", "lines", "removed")
+    got = linededup.cleaned(df, sites=8).select("row.doc_id", "text", "lines", "removed")
     assert {r.doc_id: (r.text, r.removed) for r in got.collect()} == {
         i: (text, 0) if not i else ("\nfar and wide {0}\nfew".format(i)[: None if i < 7 else -4], 2)
         for i, text, _ in rows
     }
+
+
+def test_threshold_follows_the_number_of_sites(spark):
+    # 200 documents of 5 sites that share a line: two sites are enough. Of 30 sites, six are; a long line goes at two.
+    rows = [(i, f"the same line in all of them\nown words of {i}", f"site{i % 5}") for i in range(200)]
+    got = linededup.cleaned(documents(spark, rows))
+    assert got.filter("removed = 1").count() == 199
+    long = " ".join(f"w{i}" for i in range(51))
+    shared = {"on five": range(5), "on six": range(6), long: (3, 4), long[:-4]: (7, 8)}
+    rows = [(i, "\n".join([f"own {i}", *(line for line, on in shared.items() if i in on)]), f"s{i}") for i in range(30)]
+    df = documents(spark, [*rows, (99, "on five\nown", None)])
+    assert linededup.threshold(df) == 6 and linededup.threshold(df.filter("doc_id < 2")) == 2 and linededup.threshold(df.limit(0)) == 2
+    got = linededup.cleaned(df).select("row.doc_id", "text", "lines", "removed")
     assert as_rows(got.columns, got.collect()) == by_sql("op8_lines", documents=df)
+    assert {r.doc_id: r.removed for r in got.collect() if r.removed} == {**dict.fromkeys(range(1, 6), 1), 4: 2}
 
 
 def test_lines_of_awkward_rows_keep_every_row(spark):
