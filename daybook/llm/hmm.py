@@ -28,10 +28,10 @@ SEED = 11
 SMOOTH = 0.01
 #: Words that every task holds with their counts, the most frequent ones; counts of all others are joined.
 HEAD = 1 << 19
-#: Tokens that one pass over a batch of texts holds at a time.
-TOKENS = 1 << 20
-#: Classes that Baum-Welch runs through in one go.
+#: Steps of a text that Baum-Welch holds at a time; of what comes before, it keeps the state at the border alone.
 STRETCH = 512
+#: Tokens of all texts side by side that it holds at a time.
+TOKENS = 1 << 20
 #: Bytes of text that are scored side by side.
 SCORED_BYTES = 8 << 20
 #: The end of a text, a token like any word; no word holds white space.
@@ -93,68 +93,83 @@ def steps(lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     order = np.argsort(-lengths, kind="stable")
     first = 0
     while first < len(order):
-        last = first + max(1, TOKENS // max(1, int(lengths[order[first]])))
+        last = first + max(1, TOKENS // max(1, min(STRETCH, int(lengths[order[first]]))))
         some = order[first:last]
         own = lengths[some]
         yield some, len(some) - np.searchsorted(own[::-1], np.arange(int(own[0])), side="right")
         first = last
 
 
-def forward(model: Model, classes: np.ndarray, at: np.ndarray, alive: np.ndarray, held: list | None = None) -> np.ndarray:
-    """Natural logarithm of the likelihood of each sequence, by the scaled forward recursion over all side by side.
+def forward(
+    model: Model, classes: np.ndarray, at: np.ndarray, alive: np.ndarray, state: np.ndarray | None = None, held: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(natural logarithm of the likelihood of each sequence, last scaled states), by the recursion over all side by side.
 
-    ``at`` has the place of each sequence's first class. ``held`` gets each step's classes, scaled states and scales.
+    ``at`` has the place of each sequence's first class, ``state`` the states before it, if it is not a text's first.
+    ``held`` gets each step's classes, scaled states and scales.
     """
     total, ones = np.zeros(len(at)), np.ones(STATES, dtype=model.emit.dtype)
-    state = np.broadcast_to(model.start, (len(at), STATES))
     for t, n in enumerate(alive):
         now_classes = classes[at[:n] + t]
         now = model.emit[now_classes]
-        now *= state if t == 0 else state[:n] @ model.move
+        now *= model.start if state is None else state[:n] @ model.move
         scale = now @ ones
         now /= scale[:, None]
         state = now
         total[:n] += np.log(scale)
         if held is not None:
             held.append((now_classes, state, scale))
-    return total
+    return total, state
 
 
 def expected(model: Model, sequences: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of first states, moves and emissions, by the forward and backward recursions.
+    """Expected counts of first states, moves and emissions, by the forward and backward recursions over whole texts.
 
-    Each sequence is taken in stretches of STRETCH classes, every stretch beginning like a text, so that many run
-    side by side; no class is left out.
+    The forward pass keeps the states before each stretch of STRETCH steps. The backward pass takes the stretches from
+    the last to the first, works out the states of one again, and hands its last vector on to the stretch before. So what is
+    held does not grow with the length of a text but for a vector a stretch.
     """
-    start, move, emitted = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
+    counts = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
     for classes, lengths in gathered(sequences):
-        parts = -(-lengths // STRETCH)
-        ends, starts = np.cumsum(lengths), np.cumsum(lengths) - lengths
-        turn = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        firsts = np.repeat(starts, parts) + turn * STRETCH
-        sizes = np.minimum(np.repeat(ends, parts) - firsts, STRETCH)
-        for some, alive in steps(sizes):
-            at, held, seen, seen_at = firsts[some], [], [], []
-            forward(model, classes, at, alive, held)
+        firsts = np.cumsum(lengths) - lengths
+        for some, alive in steps(lengths):
+            at, borders = firsts[some], [None]
+            stretches = [(b, alive[b : b + STRETCH]) for b in range(0, len(alive), STRETCH)]
+            for b, own in stretches[:-1]:
+                borders.append(forward(model, classes, at + b, own, borders[-1])[1])
             back = np.ones((0, STATES), dtype=model.emit.dtype)
-            for t in range(len(alive) - 1, -1, -1):
-                now, state, scale = held[t]
-                if alive[t] > len(back):
-                    back = np.concatenate((back, np.ones((alive[t] - len(back), STATES), dtype=back.dtype)))
-                seen.append(state * back)
-                seen_at.append(now)
-                if t:
-                    back = model.emit[now] * back
-                    back /= scale[:, None]
-                    move += held[t - 1][1][: alive[t]].T @ back
-                    back = back @ model.move.T
-            start += seen[-1].sum(axis=0, dtype=np.float64)
-            own, weight = np.concatenate(seen_at), np.concatenate(seen)
-            for k in range(STATES):
-                emitted[:, k] += np.bincount(own, weight[:, k], minlength=CLASSES)
+            for (b, own), border in zip(reversed(stretches), reversed(borders), strict=True):
+                held: list = []
+                forward(model, classes, at + b, own, border, held)
+                back = _backward(model, own, held, border, back, counts)
+    start, move, emitted = counts
     return start, move * model.move, emitted
 
 
+def _backward(model: Model, alive: np.ndarray, held: list, border: np.ndarray | None, back: np.ndarray, counts: tuple) -> np.ndarray:
+    """Adds a stretch's expected counts, moves still without the model's; returns what goes on to the stretch before."""
+    start, move, emitted = counts
+    seen, seen_at = [], []
+    for t in range(len(alive) - 1, -1, -1):
+        now, state, scale = held[t]
+        if alive[t] > len(back):
+            back = np.concatenate((back, np.ones((alive[t] - len(back), STATES), dtype=back.dtype)))
+        seen.append(state * back)
+        seen_at.append(now)
+        before = held[t - 1][1] if t else border
+        if before is None:
+            start += seen[-1].sum(axis=0, dtype=np.float64)
+        else:
+            back = model.emit[now] * back
+            back /= scale[:, None]
+            move += before[: alive[t]].T @ back
+            back = back @ model.move.T
+    own, weight = np.concatenate(seen_at), np.concatenate(seen)
+    for k in range(STATES):
+        emitted[:, k] += np.bincount(own, weight[:, k], minlength=CLASSES)
+    return back
+
+
 def gathered(sequences: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(all classes in turn, length of each sequence) of runs of sequences of some millions of classes."""
     some, size = [], 0
@@ -173,7 +188,7 @@ def likelihoods(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np.nd
     out = np.zeros(len(lengths))
     firsts = np.cumsum(lengths) - lengths
     for some, alive in steps(lengths):
-        out[some] = forward(model, classes, firsts[some], alive)
+        out[some] = forward(model, classes, firsts[some], alive)[0]
     return out
 
 

@@ -186,8 +186,10 @@ def test_scaled_forward_is_the_plain_one():
     assert got == pytest.approx(want, rel=1e-10)
 
 
-def test_expected_counts_are_those_of_all_paths(monkeypatch):
+@pytest.mark.parametrize("stretch", [1, 2, 7, 512])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, stretch):
     monkeypatch.setattr(hmm, "STATES", 2)
+    monkeypatch.setattr(hmm, "STRETCH", stretch)
     draw = np.random.default_rng(5)
     emit = draw.random((hmm.CLASSES, 2))
     model = hmm.Model(np.array([0.3, 0.7]), np.array([[0.8, 0.2], [0.4, 0.6]]), emit / emit.sum(axis=0))
@@ -214,6 +216,32 @@ def test_expected_counts_are_those_of_all_paths(monkeypatch):
         assert have == pytest.approx(want)
 
 
+def test_long_texts_are_learned_from_whole(monkeypatch):
+    draw = np.random.default_rng(6)
+    model = hmm.Model.drawn(draw.integers(1, 50, hmm.CLASSES))
+    sequences = [draw.integers(0, hmm.CLASSES, n) for n in (1400, 1, 512, 513, 30, 1024)]
+    start, move, emitted = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros((hmm.CLASSES, hmm.STATES))
+    for own in sequences:  # the textbook recursions over the whole text, in logarithms
+        emit, to = np.log(model.emit[own]), np.log(model.move)
+        a, b = [np.log(model.start) + emit[0]], [np.zeros(hmm.STATES)]
+        for t in range(1, len(own)):
+            a.append(np.logaddexp.reduce(a[-1][:, None] + to, axis=0) + emit[t])
+            b.append(np.logaddexp.reduce(to + emit[-t] + b[-1], axis=1))
+        a, b = np.array(a), np.array(b[::-1])
+        whole = np.logaddexp.reduce(a[-1])
+        weight = np.exp(a + b - whole)
+        start += weight[0]
+        np.add.at(emitted, own, weight)
+        for t in range(1, len(own)):
+            move += np.exp(a[t - 1][:, None] + to + emit[t] + b[t] - whole)
+    assert start.sum() == pytest.approx(len(sequences)) and move.sum() == pytest.approx(sum(map(len, sequences)) - len(sequences))
+    for stretch, tokens in ((1, 4), (7, 20), (512, 1 << 20), (512, 600)):
+        monkeypatch.setattr(hmm, "STRETCH", stretch)
+        monkeypatch.setattr(hmm, "TOKENS", tokens)
+        for have, want in zip(hmm.expected(model, iter(sequences)), (start, move, emitted), strict=True):
+            assert have == pytest.approx(want, rel=1e-6, abs=1e-9)
+
+
 def test_model_beats_the_base_on_held_out_texts(given):
     docs, _ = given
     got = hmm.language_model(docs).filter("held_out").selectExpr("sum(score) as s", "sum(base_score) as b", "sum(n_tokens) as n").first()
