@@ -40,16 +40,17 @@ def one_label_per_id(labels: DataFrame, label: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, out: int, bound: int) -> DataFrame:
-    """(text, label) of about ``bound`` labelled rows outside the held-out fold, all where there are fewer.
+    """(text, label) of about ``bound`` labelled ids outside the held-out fold, all where there are fewer; one text an id.
 
-    Rows are chosen by the hash of their id against a share, so no sort and no collect is needed;
-    the number is exact up to the chance of a draw.
+    Ids are chosen by their hash against a share, so no sort and no collect is needed; the number is exact up to the
+    chance of a draw. Of several texts of an id the smallest is taken, picked before the shuffle.
     """
     known = one_label_per_id(labels, label).filter(~held_out(F.col("doc_id"), folds, out))
     share = min(1.0, bound / max(1, known.count()))
     drawn = known.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(label)), F.lit(1 << 30)) < int(share * (1 << 30)))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(drawn, "doc_id").select("text", "label")
+    found = texts.join(drawn, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    return found.select("text", "label")
 
 
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:

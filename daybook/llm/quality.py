@@ -1,7 +1,8 @@
 """Quality of texts: logistic regression over hashed word n-grams, fitted by follow-the-regularised-leader.
 
-Words are cut into runs of letters or digits and runs of signs; a run that repeats the one before it becomes a mark for
-repetition. A text's features are the shares of its hashed runs and pairs of runs, and its score one sparse dot product.
+A text's features are the shares of its hashed n-grams, of one or two: of its words, and of the runs that words are cut
+into, of letters or digits and of signs. A word or run that repeats the one before it becomes a mark for repetition. The score
+is one sparse dot product.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,8 @@ from pyspark.sql.types import DoubleType
 from daybook.llm.common import held_out, labelled_sample, slices, sums, words_of
 
 FOLDS, OUT = 3, 1
-#: Labelled rows that the model is fitted on, about: the bound of what one task reads.
-SAMPLE = 3000
+#: Labelled ids that the model is fitted on, about, with a text each: the bound of what one task reads.
+SAMPLE = 6000
 BITS = 18
 PASSES = 3
 #: Shares are small numbers; scaled by this they suit the rate of learning.
@@ -30,6 +32,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 #: Runs in words that line breaks part; no word holds one.
 _RUNS = re.compile(r"[^\W_]+|\n|(?:[^\w\n]|_)+")
 _REPEAT = np.uint32(zlib.crc32(b"\0repeat"))
+#: Words and runs that are written alike are different features.
+_WORDS, _OF_RUNS = np.uint32(0x2545F491), np.uint32(0)
 
 
 def runs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -42,15 +46,8 @@ def runs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[codes[~is_break]], np.bincount(of_word, minlength=len(words))
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed features of all texts in turn, number of each text's)."""
-    words, codes, per_text = words_of(texts)
-    hashes, sizes = runs_of(words)
-    starts = np.cumsum(sizes) - sizes
-    lengths = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-    ends = np.cumsum(lengths)
-    flat = hashes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - lengths), lengths)]
-    per_text = sums(lengths, per_text)
+def grams(flat: np.ndarray, per_text: np.ndarray, salt: np.uint32) -> np.ndarray:
+    """Hashes of single items and of pairs, two for each item in turn; the first of a text pairs with its start."""
     first = np.zeros(len(flat), dtype=bool)
     first[(np.cumsum(per_text) - per_text)[per_text > 0]] = True
     again = np.zeros(len(flat), dtype=bool)
@@ -59,12 +56,52 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     pair = np.zeros_like(single)
     pair[1:] = single[:-1] * np.uint32(0x9E3779B1) ^ single[1:]
     pair[first] = single[first] ^ np.uint32(0x85EBCA6B)
-    both = np.column_stack((single, pair * np.uint32(0xC2B2AE35))).ravel()
-    return (both >> np.uint32(32 - BITS)).astype(np.int64), per_text * 2
+    return np.column_stack(((single ^ salt) * np.uint32(0x27D4EB2F), (pair ^ salt) * np.uint32(0xC2B2AE35))).ravel()
 
 
-def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, passes: int) -> np.ndarray:
-    """Weights of ``size`` features and, last, of the constant. rows: (features, values, label)."""
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed features of all texts in turn, number of each text's): a text's words before its runs."""
+    words, codes, n_words = words_of(texts)
+    whole = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint32, len(words))[codes]
+    hashes, sizes = runs_of(words)
+    starts = np.cumsum(sizes) - sizes
+    lengths = sizes[codes] if len(codes) else np.zeros(0, np.int64)
+    ends = np.cumsum(lengths)
+    runs = hashes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - lengths), lengths)]
+    n_runs = sums(lengths, n_words)
+    per_text = 2 * (n_words + n_runs)
+    out = np.empty(int(per_text.sum()), dtype=np.uint32)
+    is_word = np.repeat(np.tile([True, False], len(per_text)), np.column_stack((2 * n_words, 2 * n_runs)).ravel())
+    out[is_word], out[~is_word] = grams(whole, n_words, _WORDS), grams(runs, n_runs, _OF_RUNS)
+    return (out >> np.uint32(32 - BITS)).astype(np.int32), per_text
+
+
+@dataclass
+class Rows:
+    """Training rows one after the other: features, values, where each row ends, and labels."""
+
+    at: np.ndarray
+    x: np.ndarray
+    ends: np.ndarray
+    labels: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list[Rows]) -> Rows:
+        before = np.cumsum([0, *(len(p.at) for p in parts)])
+        ends = [p.ends + b for p, b in zip(parts, before, strict=False)]
+        none = cls(*(np.zeros(0, kind) for kind in (np.int32, np.float32, np.int64, np.int64)))
+        columns = ([p.at for p in parts], [p.x for p in parts], ends, [p.labels for p in parts])
+        return cls(*(np.concatenate([empty, *c]) for empty, c in zip(vars(none).values(), columns, strict=True)))
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        first = 0
+        for end, label in zip(self.ends, self.labels, strict=True):
+            yield self.at[first:end], self.x[first:end], label
+            first = end
+
+
+def follow_leader(rows: Rows, size: int, passes: int) -> np.ndarray:
+    """Weights of ``size`` features and, last, of the constant."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at):
@@ -81,16 +118,21 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, pas
     return weights(np.arange(size + 1))[0]
 
 
-def training_rows(texts: pa.Array, labels: list[int]) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    rows, at = [], 0
+def training_rows(texts: pa.Array, labels: list[int]) -> list[Rows]:
+    """The rows of the texts, a part for each slice of them: distinct features with their shares, and the constant."""
+    parts, done = [], 0
     for part in slices(texts):
         flat, lengths = features(part)
+        ats, xs = [], []
         for own in np.split(flat, np.cumsum(lengths)[:-1]):
             feature, count = np.unique(own, return_counts=True)
-            x = np.append(count / max(1, len(own)) * SCALE, 1.0)
-            rows.append((np.append(feature, 1 << BITS).astype(np.int32), x.astype(np.float32), labels[at]))
-            at += 1
-    return rows
+            ats.append(np.append(feature, np.int32(1 << BITS)))
+            xs.append(np.append(count / max(1, len(own)) * SCALE, 1.0).astype(np.float32))
+        ends = np.cumsum([len(a) for a in ats])
+        here = np.array(labels[done : done + len(ats)], dtype=np.int64)
+        parts.append(Rows(np.concatenate(ats), np.concatenate(xs), ends, here))
+        done += len(ats)
+    return parts
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, out: int = OUT) -> np.ndarray:
@@ -99,10 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
     one = drawn.repartition(1).sortWithinPartitions(F.xxhash64("text"), "text", "label")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        parts = []
         for batch in batches:
-            rows += training_rows(batch["text"], batch["label"].to_pylist())
-        w = follow_leader(rows, 1 << BITS, PASSES)
+            parts += training_rows(batch["text"], batch["label"].to_pylist())
+        w = follow_leader(Rows.joined(parts), 1 << BITS, PASSES)
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "weight"])
 
@@ -140,7 +182,11 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
 
 
 def good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows that the classifier does not reject, with all their columns."""
+    """The rows that the classifier does not reject, with all their columns.
+
+    A row goes if its score is under 0.5; null and empty texts score what the constant gives, rows alike in text go or stay
+    together, and a text of any length counts whole. Without any usable label, or any row, nothing goes.
+    """
     weights = fit(docs, labels, sample)
     rows = docs.select(F.struct("*").alias("row"), "text")
     kept_rows = rows.withColumn("score", scored(F.col("text"), weights, docs.sparkSession)).filter("score >= 0.5")

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType
 from daybook.llm.common import held_out, labelled_sample, slices, sums, words_of
 
 FOLDS, OUT = 5, 0
-#: Labelled rows that the model is fitted on, about: the bound of what one task reads.
+#: Labelled ids that the model is fitted on, about, with a text each: the bound of what one task reads.
 SAMPLE = 6000
 BITS = 17
 SIZE = 8

@@ -36,17 +36,12 @@ def test_quality_of_held_out_documents(given):
     assert sum(got[i].predicted for i in clean) >= 0.99 * len(clean)
 
 
-INSULTS = {"idiot", "clown", "moron", "disgusting", "loser", "stupid", "scum", "worthless", "trash", "pathetic"}
-
-
 def test_toxicity_of_held_out_documents(given):
     docs, known = given
     got, want = by_id(toxicity.toxicity(docs, known)), {r.doc_id: r.toxic for r in known.collect()}
     assert all(r.held_out == (fold(i, 5) == 0) for i, r in got.items())
-    # Labels of texts in three languages mark documents without any insult; those nothing can learn.
-    insulting = {r.doc_id for r in docs.collect() if INSULTS & set(words(lowered(r.text).replace(",", " ").replace(".", " ")))}
     out = [i for i in want if got[i].held_out]
-    found = [got[i].predicted for i in out if want[i] and i in insulting]
+    found = [got[i].predicted for i in out if want[i]]
     assert sum(found) >= 0.85 * len(found) > 30
     clean = [got[i].predicted for i in out if not want[i]]
     assert sum(clean) <= 0.02 * len(clean)
@@ -120,6 +115,79 @@ def test_bounded_sample_is_of_learnable_rows(given):
     assert 400 < drawn < 600
 
 
+def test_an_id_of_many_rows_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text {i}", "s") for i in range(5000)] + [(2, "b", "s"), (3, None, "s")]
+    known = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 0), (1, 0, 0)], "doc_id int, quality int, toxic int")
+    drawn = common.labelled_sample(documents(spark, rows), known, "toxic", 1, 1, 10)
+    assert sorted(map(tuple, drawn.collect())) == [("", 0), ("b", 0), ("text 0", 1)]
+
+
+def test_quality_scores_word_by_word(spark):
+    """Each n-gram of each text, one at a time, against the fitted weights."""
+    texts = ["Good text, it's fine.", "!!! !!! spam spam x1", "one", "", None, "same same same"] * 3
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    known = spark.createDataFrame([(i, i % 2, 0) for i in range(len(texts))], LABELS)
+    weights = quality.fit(docs, known)
+    mask = 0xFFFFFFFF
+
+    def hashed(items, salt):
+        crc = [zlib.crc32(item.encode()) for item in items]
+        repeat = int(quality._REPEAT)
+        single = [repeat if i and crc[i] == crc[i - 1] else crc[i] for i in range(len(crc))]
+        for i, h in enumerate(single):
+            pair = (single[i - 1] * 0x9E3779B1 & mask) ^ h if i else h ^ 0x85EBCA6B
+            yield ((h ^ salt) * 0x27D4EB2F & mask) >> (32 - quality.BITS)
+            yield ((pair ^ salt) * 0xC2B2AE35 & mask) >> (32 - quality.BITS)
+
+    def score(text):
+        own = words(lowered(text))
+        runs = [run for w in own for run in quality._RUNS.findall(w)]
+        at = [*hashed(own, int(quality._WORDS)), *hashed(runs, 0)]
+        logit = sum(weights[a] for a in at) / max(1, len(at)) * quality.SCALE + weights[-1]
+        return 1 / (1 + math.exp(-logit))
+
+    got = by_id(quality.quality(docs, known))
+    assert {r.score for r in got.values()} != {0.5}
+    for i, text in enumerate(texts):
+        assert got[i].score == pytest.approx(score(text), abs=1e-6)
+
+
+def test_weights_follow_the_textbook_update():
+    draw = np.random.default_rng(8)
+    size, parts = 30, []
+    for _ in range(3):
+        ats = [np.append(np.sort(draw.choice(size, 6, replace=False)), size).astype(np.int32) for _ in range(5)]
+        xs = [draw.normal(size=7).astype(np.float32) for _ in range(5)]
+        parts.append(quality.Rows(np.concatenate(ats), np.concatenate(xs), np.cumsum([7] * 5), draw.integers(0, 2, 5)))
+    z, n, w = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    for _ in range(2):
+        for part in parts:
+            for at, x, label in part:
+                dense = np.zeros(size + 1)
+                dense[at] = x
+                for i in range(size + 1):
+                    shrunk = max(0.0, abs(z[i]) - quality.L1) * np.sign(z[i])
+                    slack = (quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2
+                    w[i] = -shrunk / slack
+                g = (1 / (1 + math.exp(-w @ dense)) - label) * dense
+                sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / quality.ALPHA
+                z, n = z + g - sigma * w, n + g * g
+    final = -np.sign(z) * np.maximum(0, np.abs(z) - quality.L1) / ((quality.BETA + np.sqrt(n)) / quality.ALPHA + quality.L2)
+    assert quality.follow_leader(quality.Rows.joined(parts), size, 2) == pytest.approx(final)
+
+
+def test_toxicity_scores_subword_by_subword(spark):
+    texts = ["you IDIOT!", "a nice day", "", None, "idiots and a day", "nice nice"] * 3
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    known = spark.createDataFrame([(i, 0, int("idiot" in (t or "").lower())) for i, t in enumerate(texts)], LABELS)
+    by_place, bias = toxicity.fit(docs, known)
+    got = by_id(toxicity.toxicity(docs, known))
+    for i, text in enumerate(texts):
+        at = [p for w in words(lowered(text)) for p in toxicity.subwords([w])[0]]
+        logit = sum(by_place[p] for p in at) / max(1, len(at)) + bias
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-6)
+
+
 def test_words_follow_the_definition():
     for _, text, *_ in AWKWARD:
         distinct, codes, sizes = common.words_of(pa.array([text or ""], pa.large_string()))
