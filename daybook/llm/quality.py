@@ -11,6 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ _RUNS = re.compile(r"[^\W_]+|\n|(?:[^\w\n]|_)+")
 _REPEAT = np.uint32(zlib.crc32(b"\0repeat"))
 #: Words and runs that are written alike are different features.
 _WORDS, _OF_RUNS = np.uint32(0x2545F491), np.uint32(0)
+#: Bytes of text whose features a task works out at a time: each byte takes some twenty in arrays.
+FEATURE_BYTES = 1 << 20
 
 
 def runs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,14 +88,6 @@ class Rows:
     ends: np.ndarray
     labels: np.ndarray
 
-    @classmethod
-    def joined(cls, parts: list[Rows]) -> Rows:
-        before = np.cumsum([0, *(len(p.at) for p in parts)])
-        ends = [p.ends + b for p, b in zip(parts, before, strict=False)]
-        none = cls(*(np.zeros(0, kind) for kind in (np.int32, np.float32, np.int64, np.int64)))
-        columns = ([p.at for p in parts], [p.x for p in parts], ends, [p.labels for p in parts])
-        return cls(*(np.concatenate([empty, *c]) for empty, c in zip(vars(none).values(), columns, strict=True)))
-
     def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         first = 0
         for end, label in zip(self.ends, self.labels, strict=True):
@@ -100,8 +95,8 @@ class Rows:
             first = end
 
 
-def follow_leader(rows: Rows, size: int, passes: int) -> np.ndarray:
-    """Weights of ``size`` features and, last, of the constant."""
+def follow_leader(parts: list[Rows], size: int, passes: int) -> np.ndarray:
+    """Weights of ``size`` features and, last, of the constant, from the rows of all parts in turn."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at):
@@ -109,7 +104,7 @@ def follow_leader(rows: Rows, size: int, passes: int) -> np.ndarray:
         return np.where(np.abs(z[at]) > L1, w, 0.0), n[at]
 
     for _ in range(passes):
-        for at, x, label in rows:
+        for at, x, label in chain.from_iterable(parts):
             w, before = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - label) * x
             after = before + g * g
@@ -121,7 +116,7 @@ def follow_leader(rows: Rows, size: int, passes: int) -> np.ndarray:
 def training_rows(texts: pa.Array, labels: list[int]) -> list[Rows]:
     """The rows of the texts, a part for each slice of them: distinct features with their shares, and the constant."""
     parts, done = [], 0
-    for part in slices(texts):
+    for part in slices(texts, FEATURE_BYTES):
         flat, lengths = features(part)
         ats, xs = [], []
         for own in np.split(flat, np.cumsum(lengths)[:-1]):
@@ -144,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
         parts = []
         for batch in batches:
             parts += training_rows(batch["text"], batch["label"].to_pylist())
-        w = follow_leader(Rows.joined(parts), 1 << BITS, PASSES)
+        w = follow_leader(parts, 1 << BITS, PASSES)
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "weight"])
 
@@ -161,7 +156,7 @@ def scored(text: Column, weights: np.ndarray, spark) -> Column:
 
     def of(texts: pa.Array) -> pa.Array:
         w, found = shared.value, [np.zeros(0)]
-        for part in slices(texts):
+        for part in slices(texts, FEATURE_BYTES):
             flat, lengths = features(part)
             found.append(sums(w[flat], lengths) / np.maximum(1, lengths) * SCALE + w[-1])
         return pa.array(1 / (1 + np.exp(-np.concatenate(found))))

@@ -173,7 +173,7 @@ def test_weights_follow_the_textbook_update():
                 sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / quality.ALPHA
                 z, n = z + g - sigma * w, n + g * g
     final = -np.sign(z) * np.maximum(0, np.abs(z) - quality.L1) / ((quality.BETA + np.sqrt(n)) / quality.ALPHA + quality.L2)
-    assert quality.follow_leader(quality.Rows.joined(parts), size, 2) == pytest.approx(final)
+    assert quality.follow_leader(parts, size, 2) == pytest.approx(final)
 
 
 def test_toxicity_scores_subword_by_subword(spark):
