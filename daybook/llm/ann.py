@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import neighbours
 from daybook.llm.common import kept
-from daybook.llm.neighbours import MOST_CELLS, PART_ROWS, SLICE_ROWS, matrix
+from daybook.llm.neighbours import MOST_CELLS, PART_ROWS, matrix
 
 K = 5
 #: Even, for the closed form of the distribution.
@@ -132,12 +132,18 @@ def cells(drawn: np.ndarray, n: int) -> list[list]:
 
 
 def cell_of(projected: np.ndarray, paths: list[list]) -> np.ndarray:
+    """The cell of each point: all points go down the upper levels together, two groups at a node."""
     out = np.zeros(len(projected), dtype=np.int32)
-    for number, path in enumerate(paths):
-        inside = np.ones(len(projected), dtype=bool)
-        for d, value, above in path:
-            inside &= (projected[:, d] >= value) == above
-        out[inside] = number
+    todo = [(np.arange(len(projected)), list(range(len(paths))), 0)]
+    while todo:
+        own, below, depth = todo.pop()
+        if len(below) == 1:
+            out[own] = below[0]
+        elif len(own):
+            d, value, _ = paths[below[0]][depth]
+            high = projected[own, d] >= value
+            for above in (False, True):
+                todo.append((own[high == above], [c for c in below if paths[c][depth][2] == above], depth + 1))
     return out
 
 
@@ -172,7 +178,6 @@ def nearest_neighbours(rows: DataFrame, queries: Column | None = None, k: int =
     held, parts = neighbours.parted(celled.select("cell", "class", "v"))
     own = asking.join(classes, "v").select(F.col("class").alias("query")).distinct()
     asks = kept(own.join(celled, own["query"] == celled["class"]).select("cell", "query", "v", "y"), "asks")
-    slices = max(1, -(-asks.count() // SLICE_ROWS))
 
     def search(key: tuple, asked: pa.Table, stored: pa.Table) -> pa.Table:
         out = []
@@ -182,35 +187,29 @@ def nearest_neighbours(rows: DataFrame, queries: Column | None = None, k: int =
             units = unit(v)
             tree = KdTree(units @ projection(v.shape[1]))
             for query, q, seen in zip(asked["query"].to_pylist(), matrix(asked["v"]), asked["seen"].to_pylist(), strict=True):
-                out += [(query, int(ids[i]), score) for score, i in nearest(tree, v, units, q, seen, k + 1)]
+                bound = -1.0 if seen is None else seen
+                out += [(query, int(ids[i]), score) for score, i in nearest(tree, v, units, q, bound, k + 1)]
         return pa.Table.from_pylist([dict(zip(("query", "class", "score"), row, strict=True)) for row in out], FOUND)
 
-    schema = "query long, class long, score double"
-    home = neighbours.searched(held, parts, asks.select("cell", "query", "v", F.lit(-1.0).alias("seen")), slices, search, schema)
-    home = kept(neighbours.best(home, k + 1), "home")
-    bounds = home.groupBy("query").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    bounds = bounds.select("query", F.when(F.col("n") > k, F.col("worst")).otherwise(-1.0).alias("seen"))
     each = [f(F.col("y")[d]).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in range(DIMENSIONS)]
     # A row for each cell.
     boxes = celled.groupBy("cell").agg(*each).orderBy("cell").collect()
     box = spark.sparkContext.broadcast((np.array([b[0] for b in boxes]), np.array([b[1:] for b in boxes], dtype=float)))
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def nearest_cells(batch: pa.RecordBatch) -> list[np.ndarray]:
         numbers, sides = box.value
         low, high, enough = sides[:, :DIMENSIONS], sides[:, DIMENSIONS:], quantile(CONFIDENCE)
-        for batch in batches:
-            at, cell = [], []
-            for i, (own_cell, y, seen) in enumerate(zip(*(batch[c].to_pylist() for c in ("cell", "y", "seen")), strict=True)):
-                near = numbers[box_distances(low, high, np.array(y)) <= enough * max(0.0, 2 - 2 * seen) + 1e-9]
-                near = near[near != own_cell]
-                at += [i] * len(near)
-                cell += near.tolist()
-            taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), *(taken[c] for c in ("query", "v", "seen"))], ["cell", "query", "v", "seen"])
-
-    further = asks.join(bounds, "query").mapInArrow(others, "cell int, query long, v array<double>, seen double")
-    rest = neighbours.searched(held, parts, further, slices, search, schema)
-    return neighbours.ranked(kept(home.union(rest), "found"), vectors, classes, asking, k)
+        out = []
+        for own, y, seen in zip(*(batch[c].to_pylist() for c in ("cell", "y", "seen")), strict=True):
+            far = box_distances(low, high, np.array(y))
+            near = np.argsort(far, kind="stable")
+            near = near[far[near] <= enough * max(0.0, 2 - 2 * (-1.0 if seen is None else seen)) + 1e-9]
+            out.append(numbers[near][numbers[near] != own])
+        return out
+
+    schema = "query long, class long, score double"
+    found = neighbours.search_cells(held, parts, asks, search, nearest_cells, schema, k + 1)
+    return neighbours.ranked(found, vectors, classes, asking, k)
 
 
 FOUND = pa.schema([("query", pa.int64()), ("class", pa.int64()), ("score", pa.float64())])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import neighbours
 from daybook.llm.common import kept
-from daybook.llm.neighbours import MOST_CELLS, PART_ROWS, SLICE_ROWS, matrix
+from daybook.llm.neighbours import MOST_CELLS, PART_ROWS, matrix
 
 K = 5
 SCALE = 256
@@ -129,10 +129,17 @@ def highest_products(rows: DataFrame, queries: Column | None = None, k: int = K,
     Components are taken as floor(scale * x). ``queries`` says which rows ask, those with an id divisible by 50 by
     default; every other id is a candidate. Equal scores rank by id. Vectors that are null, or hold a null or a
     component that is not finite, take no part, nor do rows without an id or vectors of another length than the commonest. Repeated
-    rows count once. Other columns are not read.
+    rows count once. Other columns are not read. A score is a long: a vector of n components, one of which is beyond
+    sqrt(2 ** 63 / n), is an error, as its products may not fit.
     """
     spark = rows.sparkSession
-    vectors = neighbours.usable(rows, lambda c: F.floor(c * scale).cast("long"), zero=True)
+    most = F.sqrt(F.lit(2.0**63) / F.size("embedding"))
+    beyond = F.raise_error("a component is too large for scores in 64 bits")
+
+    def whole(c: Column) -> Column:
+        return F.when(F.abs(c * scale) + 1 < most, F.floor(c * scale)).otherwise(beyond).cast("long")
+
+    vectors = neighbours.usable(rows, whole, zero=True)
     classes = neighbours.distinct(vectors)
     asking = kept(vectors.filter(F.col("id") % 50 == 0 if queries is None else queries), "queries")
     drawn, n = neighbours.sample(classes)
@@ -159,7 +166,6 @@ def highest_products(rows: DataFrame, queries: Column | None = None, k: int = K,
     held, parts = neighbours.parted(celled.select("cell", "class", "v"))
     own = asking.join(classes, "v").select(F.col("class").alias("query")).distinct()
     asks = kept(own.join(celled, own["query"] == celled["class"]).select("cell", "query", "v"), "asks")
-    slices = max(1, -(-asks.count() // SLICE_ROWS))
 
     def search(key: tuple, asked: pa.Table, stored: pa.Table) -> pa.Table:
         out = []
@@ -170,33 +176,22 @@ def highest_products(rows: DataFrame, queries: Column | None = None, k: int = K,
                 out += [(query, int(ids[i]), score) for score, i in tree.highest(q, k + 1, seen)]
         return pa.Table.from_pylist([dict(zip(FOUND.names, row, strict=True)) for row in out], FOUND)
 
-    unseen = F.lit(None).cast("long").alias("seen")
-    home = neighbours.searched(held, parts, asks.select("cell", "query", "v", unseen), slices, search, schema)
-    home = kept(neighbours.best(home, k + 1), "home")
-    bounds = home.groupBy("query").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    bounds = bounds.select("query", F.when(F.col("n") > k, F.col("worst")).alias("seen"))
     # A row for each cell.
     radii = {r.cell: r.radius for r in celled.groupBy("cell").agg(F.max("apart").alias("radius")).collect()}
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = shared.value
+    def highest_cells(batch: pa.RecordBatch) -> list[np.ndarray]:
         numbers = np.array(sorted(radii), dtype=np.int32)
-        radius = np.array([radii[i] for i in numbers])
-        for batch in batches:
-            at, cell = [], []
-            v = matrix(batch["v"]).astype(np.float64)
-            for i, (own_cell, seen) in enumerate(zip(batch["cell"].to_pylist(), batch["seen"].to_pylist(), strict=True)):
-                norm = np.sqrt(v[i] @ v[i])
-                most = (pivots[numbers] @ v[i] + norm * radius) * (1 + SLACK) + SLACK
-                most = most + SLACK * np.abs(most)
-                near = numbers if seen is None else numbers[most >= seen]
-                near = near[near != own_cell]
-                at += [i] * len(near)
-                cell += near.tolist()
-            taken = batch.take(pa.array(at, pa.int64()))
-            columns = [pa.array(cell, pa.int32()), *(taken[c] for c in ("query", "v", "seen"))]
-            yield pa.RecordBatch.from_arrays(columns, ["cell", "query", "v", "seen"])
-
-    further = asks.join(bounds, "query").mapInArrow(others, "cell int, query long, v array<long>, seen long")
-    rest = neighbours.searched(held, parts, further, slices, search, schema)
-    return neighbours.ranked(kept(home.union(rest), "found"), vectors, classes, asking, k)
+        centers, radius = shared.value[numbers], np.array([radii[i] for i in numbers])
+        out = []
+        for own, q, seen in zip(
+            batch["cell"].to_pylist(), matrix(batch["v"]).astype(np.float64), batch["seen"].to_pylist(), strict=True
+        ):
+            most = (centers @ q + np.sqrt(q @ q) * radius) * (1 + SLACK) + SLACK
+            most = most + SLACK * np.abs(most)
+            near = np.argsort(-most, kind="stable")
+            near = near if seen is None else near[most[near] >= seen]
+            out.append(numbers[near][numbers[near] != own])
+        return out
+
+    found = neighbours.search_cells(held, parts, asks, search, highest_cells, schema, k + 1)
+    return neighbours.ranked(found, vectors, classes, asking, k)

@@ -1,12 +1,14 @@
 """What both vector searches share: usable vectors, equal vectors as one, cells searched in parts, ranks.
 
-Equal vectors are indexed once. A cell's rows are dealt into parts of bounded size, and its queries into slices,
-so that a task holds a bounded number of both however dense a cell or popular a vector is.
+Equal vectors are indexed once. A cell's rows are dealt into parts of bounded size, and the queries that ask it into
+slices, so that a task holds a bounded number of both however dense a cell or popular a vector is. A part is copied once
+for each slice of its own cell, and stays where it is if nobody asks. A query asks its own cell first, then others in
+rounds, the most promising first; every round tests with the bound that the ones before it left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ from daybook.llm.common import kept
 PART_ROWS = 8192
 MOST_CELLS = 4096
 SLICE_ROWS = 4096
+#: How many cells beside its own a query may have asked after each round. The last round asks all that are left.
+ROUNDS = (4, 32, 256, MOST_CELLS)
 #: Rows at most, about, that an index is fitted on. All rows are indexed.
 SAMPLE = 1 << 16
 
@@ -69,13 +73,62 @@ def parted(celled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dealt.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).drop("parts"), parts
 
 
-def searched(held: DataFrame, parts: DataFrame, asks: DataFrame, slices: int, search: Callable, schema: str) -> DataFrame:
-    """``search`` of each part of each cell for the slices of ``asks`` (cell, query, ...) that go there."""
-    asked = asks.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    asked = asked.drop("parts").withColumn("slice", F.pmod(F.xxhash64("query"), F.lit(slices)).cast("int"))
-    copies = held.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+def searched(held: DataFrame, parts: DataFrame, asks: DataFrame, search: Callable, schema: str) -> DataFrame:
+    """``search`` of each part of each cell for the slices of ``asks`` (cell, query, ...) that go there.
+
+    ``asks`` is read twice: once to count the slices of each cell, MOST_CELLS rows at most.
+    """
+    busy = asks.groupBy("cell").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices"))
+    busy = F.broadcast(busy.join(F.broadcast(parts), "cell"))
+    asked = asks.join(busy, "cell").withColumn("slice", F.pmod(F.xxhash64("query"), F.col("slices")).cast("int"))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "slices")
+    copies = held.join(busy, "cell").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     by = ["cell", "part", "slice"]
-    return asked.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(search, schema)
+    return asked.groupBy(*by).cogroup(copies.drop("parts", "slices").groupBy(*by)).applyInArrow(search, schema)
+
+
+def search_cells(
+    held: DataFrame, parts: DataFrame, asks: DataFrame, search: Callable, order: Callable, schema: str, k: int
+) -> DataFrame:
+    """The ``k`` best (query, class, score) of each query that cells left open by its bound hold.
+
+    ``asks`` (cell, query, v, ...) has a row for each query with its own cell. ``search`` reads a further column ``seen``: the
+    k-th best score so far, null where fewer are found. ``order(batch)`` gives, for each row of ``asks`` with ``seen``, the
+    cells still open, most promising first and leaving out its own; a better bound only ever shortens such a list.
+    """
+    score = schema.rsplit(" ", 1)[1]
+    vector = dict(asks.dtypes)["v"]
+    cells = parts.count()
+
+    def between(first: int, last: int) -> Callable:
+        def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [near[first:last] for near in order(batch)]
+                at = np.repeat(np.arange(len(own)), [len(near) for near in own])
+                cell = np.concatenate(own) if own else np.zeros(0)
+                taken = batch.take(pa.array(at, pa.int64()))
+                columns = [pa.array(cell.astype(np.int32)), *(taken[c] for c in ("query", "v", "seen"))]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "query", "v", "seen"])
+
+        return asking
+
+    home = asks.select("cell", "query", "v", F.lit(None).cast(score).alias("seen"))
+    found = kept(best(searched(held, parts, home, search, schema), k), "home")
+    asked = 0
+    for upto in ROUNDS:
+        if asked >= cells - 1:
+            break
+        bounds = found.groupBy("query").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
+        bounds = bounds.select("query", F.when(F.col("n") >= k, F.col("worst")).alias("seen"))
+        further = asks.join(bounds, "query").mapInArrow(
+            between(asked, upto), f"cell int, query long, v {vector}, seen {score}"
+        )
+        further = kept(further, "further")
+        if further.isEmpty():
+            break
+        more = searched(held, parts, further, search, schema)
+        found, asked = kept(best(found.union(more), k), "found"), upto
+    return found
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

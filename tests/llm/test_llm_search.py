@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import VECTORS, vectors
 
@@ -42,8 +43,8 @@ def cell_size(request, monkeypatch):
     if request.param == "many cells":
         for module in (ann, mtree, neighbours):
             monkeypatch.setattr(module, "PART_ROWS", 60)
-        for module in (ann, mtree):
-            monkeypatch.setattr(module, "SLICE_ROWS", 3)
+        monkeypatch.setattr(neighbours, "SLICE_ROWS", 3)
+        monkeypatch.setattr(neighbours, "ROUNDS", (1, 3, neighbours.MOST_CELLS))
 
 
 def test_highest_products_are_exact(spark, cell_size):
@@ -116,3 +117,38 @@ def test_tree_search_is_exact_for_any_vectors():
             want = sorted(((-s, i) for i, s in enumerate(scores.tolist())))[:6]
             assert tree.highest(q, 6, None) == [(-s, i) for s, i in want]
             assert tree.highest(q, 6, -want[-1][0]) == [(-s, i) for s, i in want]
+
+
+def test_a_part_is_copied_as_its_own_cell_is_asked(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SLICE_ROWS", 10)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 100)
+    celled = spark.range(1100).selectExpr("cast(id % 11 as int) as cell", "id as class")
+    held, parts = neighbours.parted(celled)
+    asks = spark.range(1000, 1040).selectExpr("0 as cell", "id as query")
+    asks = asks.union(spark.sql("select 1, 2000L"))
+
+    def sizes(key, asked, stored):
+        return pa.table({"cell": [key[0].as_py()], "asks": [len(asked)], "rows": [len(stored)]})
+
+    got = neighbours.searched(held, parts, asks, sizes, "cell long, asks long, rows long").toPandas()
+    # The hot cell's rows go to its four slices, the other's to its one, those of nine idle cells nowhere.
+    assert got.groupby("cell")["rows"].sum().to_dict() == {0: 400, 1: 100}
+    assert got.groupby("cell")["asks"].sum().to_dict() == {0: 40, 1: 1}
+
+
+def test_points_go_down_to_the_cell_whose_path_holds_them():
+    points = np.random.default_rng(4).normal(size=(3000, ann.DIMENSIONS))
+    points[:500] = points[0]
+    paths = [path for _, path in ann.split(points, np.arange(3000), 100)]
+    for point, cell in zip(points, ann.cell_of(points, paths), strict=True):
+        inside = [i for i, path in enumerate(paths) if all((point[d] >= value) == above for d, value, above in path)]
+        assert inside == [cell]
+
+
+def test_a_component_beyond_64_bit_scores_is_an_error(spark):
+    most = math.floor(math.sqrt(2**63 / 2) / 256) - 2
+    fits = spark.createDataFrame([(0, [float(most), 0.0], 0), (1, [float(most), -1.0], 0)], "vec_id long, embedding array<double>, label int")
+    assert [r.score for r in mtree.highest_products(fits).collect()] == [(256 * most) ** 2]
+    huge = spark.createDataFrame([(0, [1e18, 0.0], 0), (1, [1.0, 1.0], 0)], "vec_id long, embedding array<double>, label int")
+    with pytest.raises(Exception, match="too large for scores"):
+        mtree.highest_products(huge).collect()
