@@ -34,6 +34,9 @@ RUN = Run(client_id=1, run_ts=datetime(2024, 2, 1))
 # opening balances before the start are part of the test. They end on the last day that the ledger has.
 LOAN_START, DEPOSIT_START = date(1995, 2, 1), date(2024, 1, 3)
 
+#: Orders the transactions of a whole ledger.
+LEDGER_ORDER = ("date", "created_at", "seq")
+
 REPLICATED = (
     "member", "sub_role", "role", "institution", "company", "member_account", "account", "subaccount", "loan",
     "external_subaccount", "external_subaccount_member", "account_type", "ownership_type", "txn_info", "txn_category",
@@ -176,6 +179,27 @@ def running_max_balance(tables: Tables) -> DataFrame:
     return ops.running_max(series, "loan_id", "balance")
 
 
+def whole_ledgers(tables: Tables) -> DataFrame:
+    """Each ledger's posted transactions as one series."""
+    ledgers = (
+        facts.ledger_txns(tables, ledger).select(
+            F.lit(ledger.txns).alias("ledger"), F.col(ledger.txn_holder).alias("holder"), *LEDGER_ORDER, "balance"
+        )
+        for ledger in (LOANS, DEPOSITS)
+    )
+    return reduce(DataFrame.unionByName, ledgers)
+
+
+@over_bank
+def ledger_last_known(tables: Tables) -> DataFrame:
+    return ops.forward_fill_ranges(whole_ledgers(tables), "ledger", "balance", LEDGER_ORDER)
+
+
+@over_bank
+def ledger_largest(tables: Tables) -> DataFrame:
+    return ops.running_max_ranges(whole_ledgers(tables), "ledger", "balance", LEDGER_ORDER)
+
+
 # --- star schema ---------------------------------------------------------------------------------
 
 

@@ -29,6 +29,7 @@ from daybook.operators.constraints import (
 )
 from daybook.operators.dictionary import dictionary_attributes, dictionary_counts, dictionary_items
 from daybook.operators.reconcile import reconcile, reconcile_steps
+from daybook.operators.scans import forward_fill_ranges, running_max_ranges
 from daybook.operators.steps import add_changes, as_steps, changes, days_in, steps_of
 from daybook.operators.upsert import first_version, insert_if_absent, latest_version, split_null_keys, upsert
 
@@ -56,6 +57,7 @@ __all__ = [
     "expand_days",
     "first_version",
     "forward_fill",
+    "forward_fill_ranges",
     "in_range_order",
     "insert_if_absent",
     "latest_per_day",
@@ -64,6 +66,7 @@ __all__ = [
     "reconcile",
     "reconcile_steps",
     "running_max",
+    "running_max_ranges",
     "series_with_gaps",
     "split_months",
     "split_null_keys",

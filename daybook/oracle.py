@@ -47,6 +47,19 @@ def _posted(table: str) -> str:
     return f"SELECT * FROM {table} WHERE status IS NULL AND deleted_at IS NULL"
 
 
+def _whole_ledgers(balance: str) -> str:
+    ledgers = "\nUNION ALL\n".join(
+        f"SELECT '{ledger.txns}' AS ledger, {ledger.txn_holder} AS holder, date, created_at, seq, "
+        f"CAST(balance AS DECIMAL(18,2)) AS balance FROM {ledger.txns} WHERE status IS NULL AND deleted_at IS NULL"
+        for ledger in (cat.LOANS, cat.DEPOSITS)
+    )
+    return (
+        f"SELECT ledger, holder, date, created_at, seq, CAST({balance} AS DECIMAL(18,2)) AS balance FROM ({ledgers}) "
+        "WINDOW so_far AS (PARTITION BY ledger ORDER BY date NULLS LAST, created_at NULLS LAST, seq NULLS LAST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+
+
 def _last_per_day(source: str, holder: str, money: str = "CAST(balance AS DECIMAL(18,2))") -> str:
     return f"""SELECT {holder}, date, balance FROM (
   SELECT {holder}, date, {money} AS balance,
@@ -473,6 +486,10 @@ def oracles() -> dict[str, str]:
         "running_max_balance": _with(
             _series("loan_spine", "loan_last", "loan_id", "max", ZERO_MONEY), **LOAN_PARTS
         ),
+        "ledger_last_known": _with(
+            _whole_ledgers("coalesce(last_value(balance IGNORE NULLS) OVER so_far, 0)")
+        ),
+        "ledger_largest": _with(_whole_ledgers("coalesce(balance, max(balance) OVER so_far, 0)")),
         "dim_calendar": _with(
             "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS id, CAST(d AS DATE) AS full_date, "
             "CAST(day(d) AS SMALLINT) AS day, CAST(month(d) AS SMALLINT) AS month, CAST(year(d) AS SMALLINT) AS year "

@@ -4,6 +4,7 @@ from daybook.sinks.dailyfact import create_fact, read_fact, refresh_fact, touche
 from daybook.sinks.items import publish_items
 from daybook.sinks.jdbc import append_in_order
 from daybook.sinks.lake import CopiesFailed, copy_tables, copy_to_catalog, create_copy, merge_copy, read_copy, read_rejected, upsert_copy
+from daybook.sinks.publication import publish
 from daybook.sinks.versions import VersionExists, commit_version, current_path, current_version, latest_commit, write_version
 from daybook.sinks.warehouse import BrokenConstraints, load_warehouse, read_summaries, read_warehouse
 
@@ -22,6 +23,7 @@ __all__ = [
     "latest_commit",
     "load_warehouse",
     "merge_copy",
+    "publish",
     "publish_items",
     "read_copy",
     "read_fact",
