@@ -5,6 +5,7 @@ from daybook.sinks.items import publish_items
 from daybook.sinks.jdbc import append_in_order
 from daybook.sinks.lake import CopiesFailed, copy_tables, copy_to_catalog, create_copy, merge_copy, read_copy, read_rejected, upsert_copy
 from daybook.sinks.publication import publish
+from daybook.sinks.tables import publish_tables
 from daybook.sinks.versions import VersionExists, commit_version, current_path, current_version, latest_commit, write_version
 from daybook.sinks.warehouse import BrokenConstraints, load_warehouse, read_summaries, read_warehouse
 
@@ -25,6 +26,7 @@ __all__ = [
     "merge_copy",
     "publish",
     "publish_items",
+    "publish_tables",
     "read_copy",
     "read_fact",
     "read_rejected",

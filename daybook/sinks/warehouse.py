@@ -79,7 +79,7 @@ def load_warehouse(
     _write_summaries(spark, run, staging)
 
     staged = {name: read_staged(spark, staging, name) for name in TARGETS if name != FACT}
-    keyed = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted").withColumn("client_id", F.lit(run.client_id))
+    keyed = read_intervals(spark, staging).withColumn("client_id", F.lit(run.client_id))
     broken = audit_constraints(staged, {FACT: keyed}).filter(F.col("broken") > 0)
     findings = [" ".join(map(str, row)) for row in broken.collect()]  # at most one row per declared constraint
     if findings:
@@ -122,6 +122,11 @@ def read_rejected_intervals(spark: SparkSession, staging: str) -> DataFrame:
     return _read_state(spark, INTERVALS, f"{staging}/intervals", "rejected")
 
 
+def read_intervals(spark: SparkSession, staging: str) -> DataFrame:
+    """The balance intervals that the fact spells out."""
+    return _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
+
+
 def read_unparsed_balances(spark: SparkSession, staging: str) -> DataFrame:
     """Posted transactions left out of the series as their balance is no amount."""
     return spark.read.schema("ledger string, holder string, date date, balance string").parquet(f"{staging}/{UNPARSED}")
@@ -146,14 +151,14 @@ def _write_fact(spark: SparkSession, run: Run, staging: str) -> None:
     The range shuffle moves intervals cut at month ends, so each task writes few months
     and each month few files.
     """
-    accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
+    accepted = read_intervals(spark, staging)
     laid_out = in_range_order(split_months(accepted), "month", "subaccount_id", "first_day")
     _write_months(facts.fact_rows(laid_out, run), f"{staging}/{FACT}")
 
 
 def _write_summaries(spark: SparkSession, run: Run, staging: str) -> None:
     """Account and member balances, laid out like the fact, from its staged intervals and the staged bridge."""
-    accepted = _read_state(spark, INTERVALS, f"{staging}/intervals", "accepted")
+    accepted = read_intervals(spark, staging)
     bridge = read_staged(spark, staging, "bridge_member_account")
     for name, target in SUMMARIES.items():
         intervals = summaries.summary_intervals(name, accepted, bridge)

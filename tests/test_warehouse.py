@@ -5,7 +5,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
 from daybook import operators as ops
@@ -17,6 +17,7 @@ from daybook.plans import facts
 from daybook.plans.audit import reconcile_balance, reconcile_warehouse
 from daybook.sources import Include, TableSet, bank_tables
 from daybook.sinks.buckets import Directory
+from daybook.sinks.tables import _laid_out
 from daybook.sinks.versions import current_path, latest_commit
 from daybook.sinks.warehouse import read_rejected_intervals, read_rejects, read_unparsed_balances
 from daybook.streaming import replicate, selected
@@ -270,6 +271,57 @@ def test_published_fact_equals_the_query_on_the_data(spark, data, tmp_path):
     assert published.count() == built.count() and published.exceptAll(built).isEmpty()
 
 
+@pytest.fixture(scope="module")
+def laid_out(spark, data, tmp_path_factory):
+    tables, root = bank_tables(spark, data), str(tmp_path_factory.mktemp("laid_out") / "warehouse")
+    sinks.load_warehouse(spark, tables, RUN, *spans(tables), root, "v1")
+    spark.sql("CREATE DATABASE IF NOT EXISTS laid_out")
+    yield root, sinks.publish_tables(spark, root, RUN, "laid_out", 6)
+    spark.sql("DROP DATABASE laid_out CASCADE")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_laid_out_tables_are_joined_without_an_exchange(spark, laid_out, no_broadcast):
+    root, written = laid_out
+    plain = sinks.read_warehouse(spark, root) | sinks.read_summaries(spark, root)
+    for name in written:
+        published = spark.table(f"laid_out.{name}")
+        assert published.columns == plain[name].columns
+        assert published.exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(published).isEmpty()
+    for left, right, by in [
+        ("fact_balance_subaccount", "dim_subaccount", "subaccount_id"),
+        ("bridge_member_account", "dim_account", "account_id"),
+        ("fact_balance_account", "dim_account", "account_id"),
+        ("fact_balance_member", "dim_member", "member_id"),
+    ]:
+        joined = spark.table(f"laid_out.{left}").select(by).join(spark.table(f"laid_out.{right}").select(by), by, "left")
+        assert "Join" in physical_plan(joined) and "Exchange" not in physical_plan(joined)
+        assert "Exchange" in physical_plan(plain[left].select(by).join(plain[right].select(by), by, "left"))
+        assert joined.count() == plain[left].select(by).join(plain[right].select(by), by, "left").count()
+
+
+def test_days_are_spelled_out_in_their_bucket(spark, laid_out):
+    root, _ = laid_out
+    for name, df in _laid_out(spark, current_path(spark, root), RUN, 6):
+        if name.startswith("fact"):
+            above = physical_plan(df).split("Generate")[0]
+            assert "Generate" in physical_plan(df) and "Exchange" not in above
+
+
+def test_a_second_layout_takes_over_the_views(spark, laid_out):
+    root, written = laid_out
+    again = sinks.publish_tables(spark, root, RUN, "laid_out", 3)
+    assert set(again) == set(written) and not set(again.values()) & set(written.values())
+    assert all(spark.table(table).count() == spark.table(f"laid_out.{name}").count() for name, table in written.items())
+
+
 # --- copies --------------------------------------------------------------------------------------
 
 
