@@ -186,6 +186,20 @@ def test_reconcile_equal_sides(spark):
     assert counts.pop(("compared", None)) == 5 and set(counts.values()) == {0}
 
 
+def test_reconcile_compares_values_of_like_types(spark):
+    actual = frame(spark, [(1, 5, Decimal("1.50")), (2, 6, None)], "id int, n int, x decimal(18,2)")
+    expected = frame(spark, [(1, 5, Decimal("1.5")), (2, 7, Decimal("0"))], "id bigint, n bigint, x decimal(20,4)")
+    result = ops.reconcile(actual, expected, ["id"], ["n", "x"])
+    found = {(r.metric, r.column_name): r.n for r in result.collect() if r.n}
+    assert found == {("compared", None): 2, ("mismatch", "n"): 1, ("mismatch", "x"): 1}
+
+
+def test_reconcile_sorts_no_rows(spark):
+    side = frame(spark, [(1, "x", "y")], "id int, a string, b string")
+    plan = physical_plan(ops.reconcile(side, side, ["id"], ["a", "b"]))
+    assert "SortAggregate" not in plan and "Sort " not in plan and "HashAggregate" in plan
+
+
 # --- dictionary ----------------------------------------------------------------------------------
 
 
