@@ -17,6 +17,9 @@ SHARDS = 128
 SLOTS = 16_381
 #: Hexadecimal digits of the key's MD5 that name the slot: 60 bits, which fit a long.
 DIGITS = 15
+#: Bytes of text that a file of a shard should hold, and partitions at most that files are written from.
+PIECE_BYTES = 256 << 20
+MOST_TASKS = 100_000
 
 
 def preference(shard: str, slots: int) -> tuple[int, int]:
@@ -70,14 +73,24 @@ def place(docs: DataFrame, shards: list[str] | None = None, slots: int = SLOTS)
     )
 
 
-def write_shards(docs: DataFrame, path: str, shards: list[str] | None = None, slots: int = SLOTS, pieces: int = 1) -> None:
-    """Write ``docs`` as one folder a shard, each in up to ``pieces`` files. The folders are named ``__shard=<number>``."""
+def write_shards(
+    docs: DataFrame, path: str, shards: list[str] | None = None, slots: int = SLOTS, pieces: int | None = None
+) -> None:
+    """Write ``docs`` as one folder a shard, each in up to ``pieces`` files. The folders are named ``__shard=<number>``.
+
+    Without ``pieces`` there are as many as make files of about PIECE_BYTES of text; a task writes one. Rows go to a piece
+    by id and text, so only rows that are alike in both stay together. An empty table gives no folders.
+    """
+    names = shards or shard_names()
+    if pieces is None:
+        size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first().bytes or 0
+        pieces = max(1, -(-size // (PIECE_BYTES * len(names))))
     key = F.coalesce(F.col("row.doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("row.text"))), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"))
     placed = rows.withColumn("slot", slot_of(key, slots)).join(
-        F.broadcast(lookup(docs.sparkSession, shards or shard_names(), slots)), "slot"
+        F.broadcast(lookup(docs.sparkSession, names, slots)), "slot"
     )
-    piece = F.pmod(F.xxhash64("row.text"), F.lit(pieces))
-    placed.repartition("shard", piece).select("row.*", F.col("shard").alias("__shard")).write.partitionBy(
-        "__shard"
-    ).parquet(path)
+    piece = F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(pieces))
+    # As many partitions as files, so that no task writes several large ones.
+    spread = placed.withColumn("piece", piece).repartition(min(len(names) * pieces, MOST_TASKS), "shard", "piece")
+    spread.select("row.*", F.col("shard").alias("__shard")).write.partitionBy("__shard").parquet(path)

@@ -473,6 +473,21 @@ def test_awkward_rows_are_all_placed(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "shards")).count() == len(AWKWARD)
 
 
+def test_files_of_a_shard_follow_the_bytes(spark, tmp_path, monkeypatch):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('x', 100) as text", "'a' as __piece", "1 as slot", "2 as piece")
+    for size, files in ((1 << 20, 1), (5000, 4)):
+        monkeypatch.setattr(sharding, "PIECE_BYTES", size)
+        path = tmp_path / f"by{size}"
+        sharding.write_shards(docs, str(path), ["left", "right"], 101)
+        written = [len(list(folder.glob("*.parquet"))) for folder in path.glob("__shard=*")]
+        # Pieces may meet in one task.
+        assert len(written) == 2 and all(min(files, 2) <= n <= files for n in written)
+        assert spark.read.parquet(str(path)).select(docs.columns).exceptAll(docs).isEmpty()
+        assert spark.read.parquet(str(path)).count() == 400
+    sharding.write_shards(docs.filter("false"), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("__shard=*"))
+
+
 def test_placement_stays_in_the_jvm(spark, data):
     plan = llm_queries()["op10_sharding"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
