@@ -23,6 +23,8 @@ HEADLINE = (
     "last_txn_per_day",
     "forward_fill_balance",
     "running_max_balance",
+    "ledger_last_known",
+    "ledger_largest",
     "audit_fact",
     "constraint_audit",
     "reconcile_dims",
