@@ -21,6 +21,8 @@ REPEATS = 3
 RANGE_ROWS = 2048
 #: Digits of the MD5 that shuffles a queue which name a range: 32 bits.
 DIGITS = 8
+#: Words of the mix that an output part should hold at most.
+PART_WORDS = 1 << 22
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS) -> DataFrame:
@@ -56,43 +58,51 @@ def ranges(count: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / RANGE_ROWS)).cast("long")
 
 
+def unit_key(doc_id: str, text: str) -> Column:
+    """The shuffle key: a hash of text and id, so that neither a repeated id nor rows without one share a place."""
+    text_md5 = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    return F.md5(F.concat(text_md5, F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
+
+
 def queue(docs: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, DataFrame]:
-    """(queued, sources). queued: a row a document, with ``start``, the words of its source's queue before it."""
-    shuffle_key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    digest = kept(
-        docs.select(
-            F.col("doc_id"),
-            F.col("source"),
-            word_count(F.col("text")).alias("size"),
-            shuffle_key.alias("h"),
-            F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("h2"),
-        ),
-        "sizes",
-    )
-    # Rows without an id would share a shuffle key and so a range: their text decides.
-    digest = digest.withColumn("h", F.when(F.col("doc_id").isNull(), F.col("h2")).otherwise(F.col("h")))
-    totals = digest.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    """(units, sources). A unit is the ``n`` rows alike in source, text and id, added up before any shuffle of them;
+    ``start`` are the words of its source's queue before it."""
+    digest = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), unit_key("doc_id", "text").alias("h"))
+    units = kept(digest.groupBy("source", "h", "doc_id", "size").agg(F.count("*").alias("n")), "units")
+    mass = (F.col("size") * F.col("n")).alias("mass")
+    totals = units.groupBy("source").agg(F.sum(mass).alias("source_size"), F.count("*").alias("units"), F.sum("n").alias("rows"))
     totals = kept(totals, "sources")
     sources = targets(totals.select("source", "source_size"), weights, most).join(
-        totals.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))
+        totals.select(F.col("source").alias("s"), "units", "rows"), F.col("source").eqNullSafe(F.col("s"))
     )
     sources = kept(sources.drop("s"), "targets")
     share = F.conv(F.substring("h", 1, DIGITS), 16, 10).cast("long")
-    named = sources.select(F.col("source").alias("s"), "source_rank", "source_size", "target", "n")
-    dealt = digest.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    dealt = dealt.withColumn("range", F.floor(share * ranges(F.col("n")) / (1 << (4 * DIGITS))))
-    order = [F.col("h"), F.col("h2"), F.col("size")]
-    place = F.row_number().over(Window.partitionBy("source_rank", "range").orderBy(*order))
-    queued = running(dealt, ["source_rank"], order, "size", "start").withColumn("place", place)
-    return queued, sources
+    named = sources.select(F.col("source").alias("s"), "source_rank", "source_size", "target", "units")
+    dealt = units.select("*", mass).join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    dealt = dealt.withColumn("range", F.floor(share * ranges(F.col("units")) / (1 << (4 * DIGITS))))
+    return running(dealt, ["source_rank"], [F.col("h")], "mass", "start").drop("range", "mass", "units"), sources
 
 
-def copies(queued: DataFrame, most: int, cut: bool) -> DataFrame:
+def spelled(units: DataFrame) -> DataFrame:
+    """A row for each document of the units, the ``nth`` of its unit, with its own ``start``.
+
+    A unit of many rows is dealt out in blocks of RANGE_ROWS, so no task spells out a third of the table.
+    """
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / RANGE_ROWS))).alias("block")
+    many = units.filter(F.col("n") > RANGE_ROWS).select("*", blocks).repartition("h", "block")
+    few = units.filter(F.col("n") <= RANGE_ROWS).select("*", F.lit(0).cast("long").alias("block"))
+    first = F.col("block") * RANGE_ROWS
+    nth = F.explode(F.sequence(first, F.least(first + RANGE_ROWS, F.col("n")) - 1))
+    rows = few.unionByName(many).withColumn("nth", nth)
+    return rows.withColumn("start", F.col("start") + F.col("nth") * F.col("size")).drop("block", "n")
+
+
+def copies(rows: DataFrame, most: int, cut: bool) -> DataFrame:
     """A row for each time that a document stands in its source's queue: its ``words`` and its virtual ``finish`` time.
 
     With ``cut``, the copy on which a source meets its target has the words up to it only, and finishes at 1.
     """
-    again = queued.filter((F.col("size") > 0) & (F.col("target") > 0))
+    again = rows.filter((F.col("size") > 0) & (F.col("target") > 0))
     again = again.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     first = F.col("copy") * F.col("source_size") + F.col("start")
     last, goal = first + F.col("size"), F.floor("target").cast("long")
@@ -109,60 +119,54 @@ def copies(queued: DataFrame, most: int, cut: bool) -> DataFrame:
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS, cut: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(queued, mixed, sources): every document's place in its queue; the mix; the sources with their targets.
+    """(rows, mixed, sources): every document with its place in its queue; the mix; the sources with their targets.
 
     ``mixed`` has a row for each time that the mix takes a document, with the ``words`` taken, its ``finish`` time and
     ``offset``, the words of the mix before it. Documents are taken whole, and a source ends within a document or so
-    of its target; with ``cut`` the copy that crosses the target is cut there, and it ends on it. ``queued`` and ``mixed`` share the key (source_rank,
-    range, place). Of rows that are alike in every column, any may be the one taken more often. Documents without
-    words, and null texts, have size 0 and are never taken; null sources are a source of their own.
+    of its target; with ``cut`` the copy that crosses the target is cut there, and it ends on it. ``rows`` and ``mixed``
+    share the key (source_rank, h, nth). Of rows alike in id, source and text, any may be the one taken more often.
+    Documents without words, and null texts, have size 0 and are never taken; null sources are a source of their own.
     """
-    queued, sources = queue(docs, weights, most)
-    queued = kept(queued, "queue")
-    sized = sources.agg(
-        F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+    units, sources = queue(docs, weights, most)
+    rows = spelled(kept(units, "queue"))
+    total = sources.agg(
+        F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
     ).first()
-    in_line = copies(queued, most, cut).withColumnRenamed("range", "queue_range")
     # A queue runs evenly through the ranges of finish times, so a range holds RANGE_ROWS or fewer on average.
-    parts = max(1, -(-sized.rows * most // RANGE_ROWS))
-    in_line = in_line.withColumn("range", F.floor(F.col("finish") * parts))
-    order = [F.col("finish"), F.col("source_rank"), F.col("copy"), F.col("h"), F.col("h2"), F.col("place")]
+    parts = max(1, -(-total.rows * most // RANGE_ROWS))
+    in_line = copies(rows, most, cut).withColumn("range", F.floor(F.col("finish") * parts))
+    order = [F.col("finish"), F.col("source_rank"), F.col("copy"), F.col("h"), F.col("nth")]
     placed = running(in_line, [], order, "words", "offset")
-    mixed = placed.filter(F.col("offset") + F.col("words") <= sized.budget)
-    mixed = mixed.drop("range").withColumnRenamed("queue_range", "range")
-    return queued, mixed, sources
+    return rows, placed.filter(F.col("offset") + F.col("words") <= total.budget).drop("range"), sources
 
 
 def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS, cut: bool = True) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of each document."""
-    queued, mixed, _ = mix(docs, weights, most, cut)
-    key = ["source_rank", "range", "place"]
+    rows, mixed, _ = mix(docs, weights, most, cut)
+    key = ["source_rank", "h", "nth"]
     words = mixed.groupBy(*key).agg(F.sum("words").alias("taken"))
-    out = queued.join(words, key, "left")
+    out = rows.join(words, key, "left")
     return out.select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
 
 
-def alike(doc_id: str, source: str, text_md5: Column) -> Column:
-    """One text for rows that agree in id, source and text, nulls included."""
-    named = F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col(source)))
-    return F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), text_md5, named)
-
-
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = REPEATS) -> DataFrame:
-    """The documents of the mix with their columns, in ranges of finish time, each as often as the mix takes it.
+    """The documents of the mix with their columns, in its order, each as often as the mix takes it.
 
-    Documents join their copies by id, text and source, which rows alike share; one of them carries the copies of all.
+    Output parts are equal runs of the mix's words. A text goes to its places in the mix by one join, once for each
+    part that has it, and to the part by one exchange; its times within the part are spelled out there. Rows alike in
+    id, source and text become one row before the join, which stands for all of them: any, where other columns differ.
     """
-    _, mixed, _ = mix(docs, weights, most)
-    times = mixed.withColumn("key", alike("doc_id", "source", F.col("h2")))
-    times = times.groupBy("key").agg(F.collect_list("finish").alias("finishes"))
-    text_md5 = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    rows = docs.select(F.struct("*").alias("row"), alike("doc_id", "source", text_md5).alias("key"))
-    # Rows alike beyond the first take no copies: the copies already stand for them.
-    keyed = rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))).filter("n = 1")
-    joined = keyed.join(times, "key").select("row", F.explode("finishes").alias("finish"))
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = joined.repartitionByRange(int(parts), "finish").sortWithinPartitions("finish")
-    return ordered.select("row.*")
+    _, mixed, sources = mix(docs, weights, most)
+    budget = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-budget // PART_WORDS))
+    part = F.floor(F.col("offset") / F.lit(max(1, -(-budget // parts)))).cast("int")
+    # One text for h and source, nulls included.
+    key = F.concat("h", F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col("source"))))
+    times = mixed.select(key.alias("key"), part.alias("part"), "offset")
+    times = times.groupBy("key", "part").agg(F.collect_list("offset").alias("offsets"))
+    rows = docs.select(F.struct("*").alias("row"), unit_key("doc_id", "text").alias("h"), "source")
+    rows = rows.select("row", key.alias("key")).groupBy("key").agg(F.first("row").alias("row"))
+    joined = rows.join(times, "key").select("row", "part", "offsets").repartitionById(parts, F.col("part"))
+    return joined.select("row", F.explode("offsets").alias("offset")).sortWithinPartitions("offset").select("row.*")

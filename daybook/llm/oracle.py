@@ -25,8 +25,8 @@ FROM pairs QUALIFY rank <= 5
 # Sources at their cap are found step by step: each round takes those that the level of the others exceeds.
 MIXING = f"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, CAST({WORD_COUNT.format("text")} AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
-    md5(coalesce(text, '')) AS h2 FROM documents
+  SELECT doc_id, source, CAST({WORD_COUNT.format("text")} AS BIGINT) AS size,
+    md5(md5(coalesce(text, '')) || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_rank
   FROM sized GROUP BY source
@@ -44,8 +44,8 @@ WITH RECURSIVE sized AS (
   FROM weighted
 ), queued AS (
   SELECT s.*, source_size, source_rank, target,
-    row_number() OVER (PARTITION BY source_rank ORDER BY h, h2, size) AS place,
-    coalesce(sum(size) OVER (PARTITION BY source_rank ORDER BY h, h2, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    row_number() OVER (PARTITION BY source_rank ORDER BY h) AS place,
+    coalesce(sum(size) OVER (PARTITION BY source_rank ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), copies AS (
   SELECT *, copy * source_size + start AS first, first < target AND first + size > target AS meets,
@@ -53,7 +53,7 @@ WITH RECURSIVE sized AS (
     CASE WHEN meets THEN 1 ELSE CAST(first + size AS DOUBLE) / target END AS finish
   FROM queued, (SELECT unnest([0, 1, 2]) AS copy) WHERE size > 0 AND target > 0
 ), mixed AS (
-  SELECT source_rank, place, words, sum(words) OVER (ORDER BY finish, source_rank, copy, h, h2, place) AS spent
+  SELECT source_rank, place, words, sum(words) OVER (ORDER BY finish, source_rank, copy, h, place) AS spent
   FROM copies WHERE words > 0
 ), words AS (
   SELECT source_rank, place, sum(words) AS taken FROM mixed WHERE spent <= (SELECT sum(size) FROM sized) GROUP BY ALL

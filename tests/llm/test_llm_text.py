@@ -286,6 +286,46 @@ def test_mixed_documents_are_whole_and_in_the_counted_numbers(spark):
     assert +got == +counted
 
 
+def hot_documents(spark):
+    """Half the rows under one id, a third of the rest alike, in two sources."""
+    draw = random.Random(3)
+    text = lambda: " ".join(f"w{draw.randrange(50)}" for _ in range(draw.randrange(1, 9)))
+    rows = [(7, text(), "a") for _ in range(600)] + [(8, "rows alike", "b")] * 200
+    rows += [(i, text(), "ab"[i % 2]) for i in range(100, 500)] + [(None, "no id", None)] * 5
+    return documents(spark, rows)
+
+
+def test_mixing_of_hot_ids_and_rows_alike_equals_sql(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
+    docs = hot_documents(spark)
+    got = mixing.taken(docs)
+    assert as_rows(got.columns, got.collect()) == by_sql("op7_mixing", documents=docs)
+    units, _ = mixing.queue(docs, mixing.WEIGHTS, mixing.REPEATS)
+    assert units.agg({"n": "sum"}).first()[0] == docs.count() and units.filter("n = 200").count() == 1
+    rows = mixing.spelled(units)
+    assert rows.count() == docs.count() and rows.select("source_rank", "h", "nth").distinct().count() == docs.count()
+
+
+def test_ranges_of_a_queue_hold_few_rows_of_a_hot_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
+    monkeypatch.setattr(mixing, "running", lambda df, *rest: seen.append(df) or prefix.running(df, *rest))
+    mixing.mix(hot_documents(spark))
+    assert len(seen) == 2
+    for df in seen:
+        groups = [c for c in ("source_rank",) if df is seen[0]]
+        assert df.groupBy(*groups, "range").count().agg({"count": "max"}).first()[0] <= 4 * 16
+
+
+def test_mixed_documents_of_hot_rows_stand_in_the_order_of_the_mix(spark):
+    docs = hot_documents(spark)
+    out = [(r.doc_id, r.text, r.source) for r in mixing.mixed_documents(docs).collect()]
+    assert out == [(r.doc_id, r.text, r.source) for r in mixing.mixed_documents(docs.repartition(7)).collect()]
+    _, mixed, _ = mixing.mix(docs)
+    placed = mixed.orderBy("offset").select("doc_id", "source", "size", "words").collect()
+    assert [(i, source, len(words(text))) for i, text, source in out] == [(r.doc_id, r.source, r.words) for r in placed]
+
+
 def test_running_sums_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(prefix, "FAN", 3)
     rows = [(g, i // 4, i, i % 7) for g in "ab" for i in range(100)]
