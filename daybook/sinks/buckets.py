@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from daybook.sources.inventory import inventory
 
 BUCKET = "__bucket"
+#: Bytes of a bucket that one task writes: the writer sorts its rows, which take some ten times that in memory.
+TASK_BYTES = 16 << 20
 
 
 def key_hash(*key: str) -> Column:
@@ -67,17 +69,29 @@ class Directory:
         low = old - (1 << depth)
         return [b for b in self.sizes if b.bit_length() - 1 > depth and b % (1 << depth) == low]
 
+    def expected(self, sizes: Mapping[int, int]) -> dict[int, int]:
+        """About how many bytes the buckets will have that hold what those of an earlier directory held, of these sizes."""
+        parts = {old: self.below(old) for old in sizes}
+        return {b: size // len(parts[old]) for old, size in sizes.items() for b in parts[old]}
+
     def measured(self, written: Iterable[int], found: Mapping[int, int]) -> Directory:
         """With the sizes of the buckets just written."""
         return Directory({**self.sizes, **{b: found.get(b, 0) for b in written}})
 
 
-def write_buckets(rows: DataFrame, directory: Directory, key: tuple[str, ...], buckets: list[int], path: str) -> None:
-    """Write rows of the given buckets, a task each: the tasks follow the bytes as the buckets do."""
+def write_buckets(rows: DataFrame, directory: Directory, key: tuple[str, ...], buckets: Mapping[int, int], path: str) -> None:
+    """Write rows of the given buckets, of about so many bytes, in a task for each ``TASK_BYTES`` of a bucket.
+
+    The tasks follow the bytes. Those of a bucket share its keys by a hash of another seed, as the bits of the first are
+    alike in a bucket.
+    """
     spark = rows.sparkSession
-    places = spark.createDataFrame(list(zip(buckets, range(len(buckets)), strict=True)), f"{BUCKET} int, __part int")
+    tasks = [max(1, math.ceil(buckets[b] / TASK_BYTES)) for b in sorted(buckets)]
+    firsts = [sum(tasks[:i]) for i in range(len(tasks))]
+    places = spark.createDataFrame(list(zip(sorted(buckets), firsts, tasks, strict=True)), f"{BUCKET} int, __first int, __tasks int")
     laid_out = rows.withColumn(BUCKET, directory.bucket(*key)).join(F.broadcast(places), BUCKET)
-    dealt = laid_out.repartitionById(max(1, len(buckets)), F.col("__part")).drop("__part")
+    nth = F.pmod(F.xxhash64(F.lit(1), *(F.col(c).cast("string") for c in key)), F.col("__tasks"))
+    dealt = laid_out.repartitionById(max(1, sum(tasks)), (F.col("__first") + nth).cast("int")).drop("__first", "__tasks")
     dealt.write.mode("errorifexists").option("compression", "zstd").partitionBy(BUCKET).parquet(path)
 
 

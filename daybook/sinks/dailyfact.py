@@ -9,8 +9,8 @@ buckets of the holder; all other buckets and months keep their files. One commit
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
-from datetime import date
+from collections.abc import Collection, Mapping
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,7 +74,8 @@ def create_fact(
     size = sum(written_sizes(spark, f"{path}/staged", "any").values())
     directory = Directory.of_bytes(size, bucket_bytes)
     written = sorted(rows_per_bucket(points, directory, tuple(_HOLDER)))
-    write_buckets(points, directory, tuple(_HOLDER), written, f"{path}/points")
+    sizes = directory.expected({1: size})
+    write_buckets(points, directory, tuple(_HOLDER), {b: sizes[b] for b in written}, f"{path}/points")
     months = set().union(*(_month_starts(span.start, span.end) for span in spans.values()))
     _write_months(_read_points(spark, {b: path for b in written}), spans, months, run, path)
     return _commit(spark, root, version, attempt, {}, directory, written, {}, spans, months)
@@ -135,13 +136,16 @@ def refresh_fact(
     fresh = _kept(_fresh_points(tables, since, marked, spans), f"{path}/fresh")
     fresh_bytes = sum(written_sizes(spark, f"{path}/fresh", "any").values())
     share = fresh_bytes / max(1, sum(counts.values()))
-    directory = known.split({b: known.sizes[b] + round(n * share) for b, n in counts.items()}, bucket_bytes)
-    written = sorted(b for b_old in counts for b in directory.below(b_old))
+    expected = {b: known.sizes[b] + round(n * share) for b, n in counts.items()}
+    directory = known.split(expected, bucket_bytes)
+    sizes = directory.expected(expected)
+    written = sorted(sizes)
     staying = marked.filter(F.col("since").isNull()).drop("since")
-    write_buckets(staying.unionByName(fresh), directory, tuple(_HOLDER), written, f"{path}/points")
+    write_buckets(staying.unionByName(fresh), directory, tuple(_HOLDER), sizes, f"{path}/points")
 
-    was = _tiles(marked.filter(F.col("since").isNotNull()).drop("since"), before)
-    months = _months(_differing(was, _tiles(fresh, spans)))
+    rows = [held.count(), fresh.count()]
+    was = _tiles(marked.filter(F.col("since").isNotNull()).drop("since"), before, rows[0])
+    months = _months(_differing(was, _tiles(fresh, spans, rows[1]), sum(rows)))
     for kind, span in spans.items():
         months |= {m for m in _month_starts(before[kind].end, span.end) if span.end > before[kind].end}
     there = set(written_sizes(spark, f"{path}/points"))
@@ -198,17 +202,19 @@ def _by_kind(days: Mapping[str, date]) -> Column:
     return F.create_map(*(F.lit(v) for pair in days.items() for v in pair))[F.col("kind")]
 
 
-def _tiles(points: DataFrame, spans: Mapping[str, Span]) -> DataFrame:
-    """Intervals of the placed holders, each ledger over its own span."""
+def _tiles(points: DataFrame, spans: Mapping[str, Span], rows: int) -> DataFrame:
+    """Intervals of the placed holders, each ledger over its own span; ``rows`` is about how many points there are."""
     who = F.struct(*_PLACED).alias("who")
     found = [
-        tiled(points.filter(F.col("kind") == kind).select(who, "day", "balance"), "who", span.start, span.end).select("who.*", *INTERVAL)
+        tiled(points.filter(F.col("kind") == kind).select(who, "day", "balance"), "who", span.start, span.end, rows=rows).select(
+            "who.*", *INTERVAL
+        )
         for kind, span in spans.items()
     ]
     return reduce(DataFrame.unionByName, found)
 
 
-def _differing(before: DataFrame, after: DataFrame) -> DataFrame:
+def _differing(before: DataFrame, after: DataFrame, rows: int) -> DataFrame:
     """``first_day, last_day`` of stretches in which a placed holder's balance is another, or is there on one side only."""
     old, new = (as_steps(side) for side in (before, after))
     zero = F.lit(0).cast("decimal(18,2)")
@@ -216,7 +222,7 @@ def _differing(before: DataFrame, after: DataFrame) -> DataFrame:
         old.withColumns({"balance": zero - F.col("balance"), "side": F.lit(-1)})
     )
     values = ["balance", "side"]
-    left = steps_of(changes(signed, _PLACED, values), _PLACED, values)
+    left = steps_of(changes(signed, _PLACED, values), _PLACED, values, rows=rows)
     return left.filter((F.col("balance") != 0) | (F.col("side") != 0)).select("first_day", "last_day")
 
 
@@ -238,20 +244,33 @@ def _write_months(points: DataFrame, spans: Mapping[str, Span], months: set[str]
         return
     first, last = F.lit(date.fromisoformat(min(months))), F.last_day(F.lit(date.fromisoformat(max(months))))
     earlier = points.filter(F.col("day").isNull() | (F.col("day") < first))
-    opening = earlier.groupBy(*_PLACED).agg(F.max(F.struct("day", "balance")).alias("p")).select(*_PLACED, "p.*")
+    # A point a day: by the day alone, which is grouped without sorting the points.
+    opening = earlier.groupBy(*_PLACED).agg(F.max("day").alias("day"), F.max_by("balance", "day").alias("balance"))
     within = points.filter((F.col("day") >= first) & (F.col("day") <= last))
-    tiles = _tiles(opening.unionByName(within), spans).withColumns(
+    tiles = _tiles(opening.unionByName(within), spans, points.count()).withColumns(
         {"first_day": F.greatest("first_day", first), "last_day": F.least("last_day", last)}
     )
     tiles = tiles.filter(F.col("first_day") <= F.col("last_day"))
     named = [named_intervals(tiles.filter(F.col("kind") == ledger.prefix), ledger) for ledger in LEDGERS]
     wanted = F.col("month").isin([date.fromisoformat(m) for m in sorted(months)])
     pieces = split_months(named[0].unionByName(named[1])).filter(wanted)
-    rows = fact_rows(in_range_order(pieces, "month", "subaccount_id", "first_day"), run)
+    # The writer sorts a task's days by their month.
+    days = _days_written(points, spans, months)
+    rows = fact_rows(in_range_order(pieces, "month", "subaccount_id", "first_day", rows=days), run)
     writer = rows.withColumn("month", F.trunc("date", "month")).write.mode("errorifexists").option("compression", "zstd")
     writer.partitionBy("month").parquet(f"{path}/fact")
 
 
+def _days_written(points: DataFrame, spans: Mapping[str, Span], months: Collection[str]) -> int:
+    """About how many days the holders of the points have in the given months."""
+    holders = points.groupBy("kind").agg(F.approx_count_distinct(F.struct("holder", "account_id", "institution_id")).alias("n"))
+    total = 0
+    for r in holders.collect():  # a row a ledger
+        span = spans[r.kind]
+        total += r.n * sum((span.start + timedelta(i)).replace(day=1).isoformat() in months for i in range((span.end - span.start).days + 1))
+    return total
+
+
 def _commit(
     spark: SparkSession,
     root: str,

@@ -108,14 +108,15 @@ def upsert_copy(
     counts = rows_per_bucket(batch, known, (key,))
     share = batch_bytes / max(1, sum(counts.values()))
     # At the bytes of rows of the batch, as if all of them were new.
-    directory = known.split({b: known.sizes[b] + round(n * share) for b, n in counts.items()} if last else {}, bucket_bytes)
+    expected = {b: (known.sizes[b] if last else 0) + round(n * share) for b, n in counts.items()}
+    directory = known.split(expected if last else {}, bucket_bytes)
     if last:
         old = _read_buckets(spark, root, last, sorted(b for b in counts if b in parts))
         schema = fitted(old, batch, new_columns)[0].schema
         merged = upsert(old, batch, key, new_columns)
     else:
         merged, schema = batch, batch.schema
-    written = sorted(b for touched in counts for b in directory.below(touched))
+    written = directory.expected(expected)
     write_buckets(merged, directory, (key,), written, f"{path}/rows")
     found = {int(b): size for b, size in written_sizes(spark, f"{path}/rows").items()}
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])

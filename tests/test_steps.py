@@ -16,6 +16,7 @@ from daybook import sinks
 from daybook.catalogue import catalogue
 from daybook.plans import TARGETS, Run, Span, audit_constraints, build_warehouse, facts, interval_violations, summaries
 from daybook.plans.dimensions import LOANS
+from daybook.sinks.buckets import TASK_BYTES, Directory, write_buckets
 from daybook.sources import TableSet
 
 FIRST = date(2024, 1, 1)
@@ -326,3 +327,26 @@ def test_series_end_with_their_ledger(spark):
     empty = TableSet.from_frames({LOANS.txns: bank[LOANS.txns].limit(0)})
     assert facts.ledger_span(empty, LOANS, START) == Span(START, START)
     assert set(TARGETS) & set(summaries.SUMMARIES) == set()
+
+
+def test_a_bucket_of_many_bytes_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows_ = spark.range(4000).withColumn("v", F.col("id") * 2)
+    write_buckets(rows_, Directory({2: 0, 3: 0}), ("id",), {2: 4 * TASK_BYTES, 3: 10}, path)
+    files = {b: len(list((tmp_path / "points" / f"__bucket={b}").glob("*.parquet"))) for b in (2, 3)}
+    assert files == {2: 4, 3: 1}
+    assert rows(spark.read.parquet(path).select("id", "v")) == rows(rows_)
+
+
+def test_expected_bytes_are_shared_by_the_buckets_that_split():
+    directory = Directory({2: 50, 3: 40}).split({2: 500}, 250)
+    assert directory.expected({2: 500, 3: 60}) == {4: 250, 6: 250, 3: 60}
+
+
+def test_days_of_a_fact_are_written_by_tasks_that_follow_their_number(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("daybook.operators.balances.TASK_ROWS", 10)
+    span, root = Span(day(0), day(59)), str(tmp_path / "fact")
+    bank = bank_of(spark, BEFORE)
+    sinks.create_fact(spark, bank, RUNS, span, span, root, "v1")
+    assert len(sinks.read_fact(spark, root).inputFiles()) > 8
+    assert rows(sinks.read_fact(spark, root)) == rows(facts.build_balance(bank, RUNS, span, span))
