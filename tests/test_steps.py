@@ -1,5 +1,6 @@
 """Step functions: sums, key checks and reconciliation on intervals against the same over spelled-out days."""
 
+import re
 from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -15,6 +16,7 @@ from daybook import operators as ops
 from daybook import sinks
 from daybook.catalogue import catalogue
 from daybook.plans import TARGETS, Run, Span, audit_constraints, build_warehouse, facts, interval_violations, summaries
+from daybook.plans import audit
 from daybook.plans.dimensions import LOANS
 from daybook.sinks.buckets import TASK_BYTES, Directory, write_buckets
 from daybook.sources import TableSet
@@ -350,3 +352,23 @@ def test_days_of_a_fact_are_written_by_tasks_that_follow_their_number(spark, mon
     sinks.create_fact(spark, bank, RUNS, span, span, root, "v1")
     assert len(sinks.read_fact(spark, root).inputFiles()) > 8
     assert rows(sinks.read_fact(spark, root)) == rows(facts.build_balance(bank, RUNS, span, span))
+
+
+def test_steps_of_both_sides_are_dealt_by_their_number(spark, data, monkeypatch):
+    found = rows(catalogue()["reconcile_fact"](spark, data))
+    monkeypatch.setattr("daybook.operators.balances.TASK_ROWS", 1000)
+    frame = catalogue()["reconcile_fact"](spark, data)
+    dealt = [int(n) for n in re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", physical_plan(frame))]
+    # Two ledgers on each side, and both sides together.
+    assert len(dealt) == 5 and max(dealt) > 20 and rows(frame) == found
+
+
+def test_the_audit_opens_every_series_with_nothing(spark):
+    """A holder without an amount in the span, one whose first amount is late, and transactions without a holder."""
+    txn = "loan_id int, date date, created_at timestamp_ntz, seq int, balance double, status string, deleted_at timestamp_ntz"
+    data = [(1, 2, 5.0), (1, 2, 7.0), (1, 4, 6.0), (2, 40, 1.0), (2, 3, None), (None, 2, 9.0)]
+    stamped = [(n, day(d), datetime(2024, 1, 1) + timedelta(d), i, v, None, None) for i, (n, d, v) in enumerate(data)]
+    bank = tiny_bank(spark, loan_txn=spark.createDataFrame(stamped, txn))
+    found = audit._audit_steps(bank, LOANS, Span(day(1), day(6)))
+    days = found.select("holder", F.explode(F.sequence("first_day", "last_day")).alias("date"), F.col("held").alias("balance"))
+    assert rows(days) == rows(audit._audit_series(bank, LOANS, Span(day(1), day(6)))) and days.count() == 18
