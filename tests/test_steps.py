@@ -363,6 +363,15 @@ def test_steps_of_both_sides_are_dealt_by_their_number(spark, data, monkeypatch)
     assert len(dealt) == 5 and max(dealt) > 20 and rows(frame) == found
 
 
+def test_audited_days_are_dealt_by_their_number(spark, data, monkeypatch):
+    monkeypatch.setattr("daybook.operators.balances.TASK_ROWS", 1000)
+    frame = catalogue()["audit_fact"](spark, data)
+    sizes = [r.n for r in frame.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 10 * 2469 + 15 * 28 and len(sizes) > 20
+    # The spine, the last of each day and the joined days of two ledgers.
+    assert physical_plan(frame).count("REPARTITION_BY_NUM") >= 6
+
+
 def test_the_audit_opens_every_series_with_nothing(spark):
     """A holder without an amount in the span, one whose first amount is late, and transactions without a holder."""
     txn = "loan_id int, date date, created_at timestamp_ntz, seq int, balance double, status string, deleted_at timestamp_ntz"
